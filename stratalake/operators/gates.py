@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions.rules import broken_rules, outside
+from stratalake.functions.rules import Rule, broken_rules, is_null, outside
 from stratalake.functions.typed import typed_columns
-from stratalake.operators.keys import duplicate_rows, one_row
+from stratalake.operators.keys import tally
 from stratalake.spec import LINEAGE, DatasetSpec
 
 REPORT_SCHEMA = "rule_no int, rule string, violations bigint, rows bigint, passed boolean"
@@ -51,18 +51,14 @@ def bronze_metrics(df: DataFrame) -> DataFrame:
     return df.agg(*bronze_counts(df))
 
 
+def _row_rules(spec: DatasetSpec) -> tuple[Rule, ...]:
+    return (*broken_rules(spec), *[outside(*limits) for limits in spec.ranges])
+
+
 def silver_metrics(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Row rules in one pass without a shuffle; uniqueness moves the key columns only."""
-    at = typed_columns(df, spec)
-    checks = dict(broken_rules(spec, at))
-    for name, low, high in spec.ranges:
-        checks[f"{name}_range"] = outside(at[name], low, high)
-    row_counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(at[name].isNull()).alias(f"{name}_nulls") for name in spec.required],
-        *[F.count_if(cond).alias(name) for name, cond in checks.items()],
-    )
-    return one_row(row_counts, duplicate_rows(df, [at[name] for name in spec.key]))
+    """All silver rules and uniqueness in one scan and one shuffle of distinct keys."""
+    nulls = [is_null(name) for name in spec.required]
+    return tally(df, typed_columns(df, spec), spec.key, [*nulls, *_row_rules(spec)])
 
 
 def _report(metrics: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -99,8 +95,7 @@ def silver_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
         ("required_columns", F.lit(0)),
         ("not_empty", F.lit(0)),
         *[(f"not_all_null:{name}", wholly_null(name)) for name in spec.required],
-        *[(name, F.col(name)) for name in ("negative_amount", "bad_interval", "out_of_range")],
-        *[(f"{name}_range", F.col(f"{name}_range")) for name, _, _ in spec.ranges],
+        *[(rule.name, F.col(rule.name)) for rule in _row_rules(spec)],
         ("unique_key", F.col("duplicate_keys")),
     ]
 

@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.functions.rules import (
-    BAD_INTERVAL,
-    NEGATIVE,
-    OUT_OF_RANGE,
-    acceptable,
-    broken_rules,
-)
+from stratalake.functions.rules import acceptable, broken_rules, is_null, is_zero
 from stratalake.functions.typed import nulled_by_cast, typed_columns
-from stratalake.operators.keys import duplicate_rows, one_row
+from stratalake.operators.keys import COPIES, tally, total
 from stratalake.spec import SOURCE_FILE, DatasetSpec
 
-RULES = (NEGATIVE, BAD_INTERVAL, OUT_OF_RANGE)
+RULES = ("negative_amount", "bad_interval", "out_of_range")
+REASONS = (*RULES, "null_predicate", "duplicate_key", "kept")
 # A row's outcome as bits: one per broken rule, one for "accepted".
 _BIT = {name: 1 << at for at, name in enumerate((*RULES, "accepted"))}
-REASONS = (*RULES, "null_predicate", "duplicate_key", "kept")
 
 
 def rows_by_file(bronze: DataFrame) -> DataFrame:
@@ -38,7 +33,7 @@ def diagnostic_counts(bronze: DataFrame, spec: DatasetSpec) -> list[Column]:
     at = typed_columns(bronze, spec)
     return [
         F.count(F.lit(1)).alias("total"),
-        *[F.count_if(cond).alias(name) for name, cond in broken_rules(spec, at).items()],
+        *[F.count_if(rule.holds(at)).alias(rule.name) for rule in broken_rules(spec)],
         F.count_if(acceptable(spec, at)).alias("accepted"),
         nulled_by_cast(bronze, spec).alias("nulled_by_cast"),
     ]
@@ -57,15 +52,16 @@ def outcomes(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     """
     at = typed_columns(bronze, spec)
     accepted = F.coalesce(acceptable(spec, at), F.lit(False))
-    conditions = {**broken_rules(spec, at), "accepted": accepted}
+    conditions = {rule.name: rule.holds(at) for rule in broken_rules(spec)}
+    conditions["accepted"] = accepted
     bits = [F.when(cond, _BIT[name]).otherwise(0) for name, cond in conditions.items()]
     return (
         bronze.select(
-            reduce(lambda a, b: a.bitwiseOR(b), bits).alias("outcome"),
+            reduce(lambda left, right: left.bitwiseOR(right), bits).alias("outcome"),
             *[F.when(accepted, at[name]).alias(name) for name in spec.key],
         )
         .groupBy("outcome", *spec.key)
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.count(F.lit(1)).alias(COPIES))
     )
 
 
@@ -73,17 +69,17 @@ def _has(name: str) -> Column:
     return F.col("outcome").bitwiseAND(_BIT[name]) != 0
 
 
-def _copies(cond: Column) -> Column:
-    return F.coalesce(F.sum(F.when(cond, F.col("copies"))), F.lit(0)).cast("bigint")
+def _rows_where(cond: Column) -> Column:
+    return total(F.when(cond, F.col(COPIES)))
 
 
 def discard_report(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     """One row: rows per broken rule, duplicates, rows kept and their share."""
     kept = F.count_if(_has("accepted"))
     counts = outcomes(bronze, spec).agg(
-        _copies(F.lit(True)).alias("total"),
-        *[_copies(_has(name)).alias(name) for name in RULES],
-        (_copies(_has("accepted")) - kept).alias("duplicates"),
+        total(F.col(COPIES)).alias("total"),
+        *[_rows_where(_has(name)).alias(name) for name in RULES],
+        (_rows_where(_has("accepted")) - kept).alias("duplicates"),
         kept.alias("kept"),
     )
     return counts.withColumn("kept_pct", percent(F.col("kept"), F.col("total")))
@@ -95,16 +91,16 @@ def reject_reasons(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     sums: dict[str, Column] = {}
     undecided = F.lit(True)
     for name in RULES:
-        sums[name] = _copies(undecided & _has(name))
+        sums[name] = _rows_where(undecided & _has(name))
         undecided = undecided & ~_has(name)
-    sums["null_predicate"] = _copies(F.col("outcome") == 0)
-    sums["duplicate_key"] = _copies(_has("accepted")) - kept
+    sums["null_predicate"] = _rows_where(F.col("outcome") == 0)
+    sums["duplicate_key"] = _rows_where(_has("accepted")) - kept
     sums["kept"] = kept
     counts = outcomes(bronze, spec).agg(*[sums[name].alias(name) for name in REASONS])
     return as_rows(counts, REASONS, "reason", "rows")
 
 
-def as_rows(counts: DataFrame, names: tuple[str, ...], label: str, value: str) -> DataFrame:
+def as_rows(counts: DataFrame, names: Sequence[str], label: str, value: str) -> DataFrame:
     """Turns the columns of a one-row frame into rows."""
     pairs = [F.struct(F.lit(name).alias(label), F.col(name).alias(value)) for name in names]
     return counts.select(F.inline(F.array(*pairs)))
@@ -112,28 +108,21 @@ def as_rows(counts: DataFrame, names: tuple[str, ...], label: str, value: str) -
 
 def profile(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     """One row of findings about raw data, each count with its share of all rows."""
-    at = typed_columns(bronze, spec)
-    broken = broken_rules(spec, at)
-    findings = {
-        NEGATIVE: broken[NEGATIVE],
-        "zero_amount": at[spec.amount] == 0,
-        "null_count": at[spec.counted].isNull(),
-        "zero_count": at[spec.counted] == 0,
-        BAD_INTERVAL: broken[BAD_INTERVAL],
-        OUT_OF_RANGE: broken[OUT_OF_RANGE],
-    }
-    row_facts = bronze.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(cond).alias(name) for name, cond in findings.items()],
-        F.min(at[spec.starts]).alias("first_start"),
-        F.max(at[spec.starts]).alias("last_start"),
+    negative, bad_interval, out_of_range = broken_rules(spec)
+    findings = (
+        negative,
+        is_zero(spec.amount, "zero_amount"),
+        is_null(spec.counted, "null_count"),
+        is_zero(spec.counted, "zero_count"),
+        bad_interval,
+        out_of_range,
     )
-    facts = one_row(row_facts, duplicate_rows(bronze, [at[name] for name in spec.key]))
-    counted = [*findings, "duplicate_keys"]
+    facts = tally(bronze, typed_columns(bronze, spec), spec.key, findings, span=spec.starts)
+    counted = [*[rule.name for rule in findings], "duplicate_keys"]
     return facts.select(
-        "total",
-        *[F.col(name) for name in counted],
-        *[percent(F.col(name), F.col("total")).alias(f"{name}_pct") for name in counted],
+        F.col("rows").alias("total"),
+        *counted,
+        *[percent(F.col(name), F.col("rows")).alias(f"{name}_pct") for name in counted],
         "first_start",
         "last_start",
     )
