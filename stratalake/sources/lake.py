@@ -131,23 +131,32 @@ def publish_layer(
     if lake.fmt == "delta" or lake.publish == "rewrite":
         staged = _load(spark, lake, layer, lake.staging(layer))
         _write(staged, lake.fmt, lake.path(layer), partition_by)
+        staging = _hadoop_path(spark, lake.staging(layer))
+        _file_system(spark, staging).delete(staging, True)
     else:
         _swap(spark, lake, layer)
     spark.catalog.refreshByPath(lake.path(layer))
     return read_layer(spark, lake, layer)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _swap(spark: SparkSession, lake: Lake, layer: str) -> None:
     """Moves the old table aside and the staged one into place.
 
     If the run dies between the moves, the old table is still in ``_retired``
     and the checked one in ``_staging``.
     """
-    paths = spark._jvm.org.apache.hadoop.fs.Path
     staged, final, retired = (
-        paths(where(layer)) for where in (lake.staging, lake.path, lake.retired)
+        _hadoop_path(spark, where(layer)) for where in (lake.staging, lake.path, lake.retired)
     )
-    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = _file_system(spark, final)
     for place in (final, retired):
         files.mkdirs(place.getParent())
     files.delete(retired, True)
@@ -198,6 +207,5 @@ def save_fact_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     """Size of the files below ``path``."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(place).getLength()
+    place = _hadoop_path(spark, path)
+    return _file_system(spark, place).getContentSummary(place).getLength()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,11 +83,16 @@ def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[SchemaGroup
     return groups
 
 
-def _origin(level: str):
+def _origin(level: str) -> Column:
+    """Landing entry of a row: its file's name, or the name of the folder around it."""
     if level == "file":
-        return F.col("_metadata.file_name")
-    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
-    return folder
+        name = F.col("_metadata.file_name")
+    else:
+        path = F.col("_metadata.file_path")
+        name = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    # Spark reports names URL-encoded, except that a plus sign stays as it is.
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
 def with_lineage(scan: DataFrame, level: str = "file") -> DataFrame:

@@ -33,6 +33,7 @@ def spark(tmp_path_factory) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "America/New_York")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
