@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.operators.conform import silver
 from stratalake.operators.gates import (
@@ -18,7 +19,7 @@ from stratalake.operators.gates import (
     missing_report,
 )
 from stratalake.operators.marts import fact, hour_mart, month_mart
-from stratalake.operators.reports import RULES, diagnostic_counts
+from stratalake.operators.reports import RULES, diagnostic_counts, percent
 from stratalake.plans.sizing import shuffle_sized_for
 from stratalake.sources.lake import (
     Lake,
@@ -30,10 +31,7 @@ from stratalake.sources.lake import (
 )
 from stratalake.sources.landing import read_landing
 
-DISCARD_SCHEMA = (
-    "total bigint, negative_amount bigint, bad_interval bigint, out_of_range bigint, "
-    "duplicates bigint, kept bigint, kept_pct double"
-)
+DISCARD_COLUMNS = ("total", *RULES, "duplicates", "kept")
 
 
 @dataclass(frozen=True)
@@ -102,15 +100,11 @@ def run_silver(
 
 def discards(spark: SparkSession, counts: Row, kept: int) -> DataFrame:
     """The discard report from counts already taken; scans nothing."""
-    share = round(100.0 * kept / counts.total, 2) if counts.total else None
-    row = (
-        counts.total,
-        *[counts[name] for name in RULES],
-        counts.accepted - kept,
-        kept,
-        share,
-    )
-    return spark.createDataFrame([row], DISCARD_SCHEMA)
+    broken = [counts[name] for name in RULES]
+    row = (counts.total, *broken, counts.accepted - kept, kept)
+    schema = ", ".join(f"{name} bigint" for name in DISCARD_COLUMNS)
+    report = spark.createDataFrame([row], schema)
+    return report.withColumn("kept_pct", percent(F.col("kept"), F.col("total")))
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:

@@ -18,7 +18,15 @@ LAYERS = ("bronze", "silver", "fact", "month_mart", "hour_mart")
 VIEWS = {"bronze": "bronze", "silver": "silver", "gold_fact": "fact"}
 FACT_VIEW = "fact_trips"
 
-_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND"}
+# Error conditions that mean "no table here", for files and for Delta.
+_ABSENT = {
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",
+    "DELTA_MISSING_DELTA_TABLE",
+    "DELTA_PATH_DOES_NOT_EXIST",
+    "DELTA_SCHEMA_NOT_SET",
+    "DELTA_TABLE_NOT_FOUND",
+}
 
 
 @dataclass(frozen=True)

@@ -184,6 +184,36 @@ def test_rewriting_gives_the_same_tables(spark, lake):
     assert not os.path.exists(lake.staging("silver"))
 
 
+def test_other_file_formats(spark, lake):
+    orc = replace(lake, fmt="orc")
+    gold = run_all(spark, orc)
+    assert rows_of(gold.month_mart) == [("2023-01", 15.0, 2), ("2023-05", 43.33, 3)]
+    assert gold.fact.dtypes[3] == ("tpep_pickup_datetime", "timestamp_ntz")
+    assert register_layers(spark, orc) == ["bronze", "silver", "gold_fact"]
+
+
+def test_a_large_month_is_split_into_files(spark, lake):
+    """A month holding most rows must not end in one task."""
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    busy = spark.range(0, 200_000, 1, 8).selectExpr(
+        "CAST(id % 2 AS INT) AS VendorID",
+        "1.0D AS passenger_count",
+        "CAST(id AS DOUBLE) AS total_amount",
+        "TIMESTAMP_NTZ'2023-05-01' + make_dt_interval(0, 0, 0, id) AS tpep_pickup_datetime",
+        "TIMESTAMP_NTZ'2023-05-01' + make_dt_interval(0, 0, 5, id) AS tpep_dropoff_datetime",
+    )
+    busy.write.mode("overwrite").parquet(lake.landing("2023-05"))
+    run_silver(spark, lake, run_bronze(spark, lake))
+    spark.conf.set(setting, "256k")
+    try:
+        fact = run_gold(spark, lake).fact
+    finally:
+        spark.conf.unset(setting)
+    assert fact.filter("pickup_month = '2023-05'").count() == 200_000
+    files = [name for name in os.listdir(lake.path("fact") + "/pickup_month=2023-05") if name[0] == "p"]
+    assert len(files) > 1
+
+
 def test_views_appear_as_layers_do(spark, lake):
     assert register_layers(spark, lake) == []
     run_bronze(spark, lake)
