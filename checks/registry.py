@@ -46,7 +46,10 @@ def query(oracle: str) -> Callable[[Query], Query]:
 
 
 def drifted_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The trips as three deliveries whose schemas differ in type, case and columns."""
+    """The trips as three deliveries whose schemas differ in type, case and columns.
+
+    Each trip is in exactly one of them.
+    """
     source = events_as_trips(spark, sf_dir)
     shared = ("total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime")
 

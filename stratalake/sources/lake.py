@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ LAYERS = ("bronze", "silver", "fact", "month_mart", "hour_mart")
 # The view names under which layers can be queried.
 VIEWS = {"bronze": "bronze", "silver": "silver", "gold_fact": "fact"}
 FACT_VIEW = "fact_trips"
+# URI schemes whose stores rename a folder without copying it.
+RENAMING_SCHEMES = ("", "file", "hdfs", "viewfs", "abfss")
 
 # Error conditions that mean "no table here", for files and for Delta.
 _ABSENT = {
@@ -33,22 +36,29 @@ _ABSENT = {
 class Lake:
     """Where the layers of one dataset live.
 
-    ``root`` may be any URI Spark can reach. ``publish`` says how a checked
+    ``root`` may be any URI Spark can reach. ``publish`` says how an audited
     table replaces the old one when the format has no transactions: ``rename``
-    moves folders (cheap where a rename is a metadata operation), ``rewrite``
-    copies with Spark (for object stores, where a rename copies every file from
-    the driver). With ``delta`` the write itself is atomic.
+    moves folders, ``rewrite`` copies with Spark, for object stores where a
+    rename copies file by file. The default goes by the scheme of ``root``.
+    With ``delta`` the write itself is atomic.
     """
 
     root: str
     spec: DatasetSpec
     fmt: str = "parquet"
-    publish: str = "rename"
+    publish: str | None = None
 
     def __post_init__(self) -> None:
-        if self.publish not in ("rename", "rewrite"):
+        if self.publish not in (None, "rename", "rewrite"):
             raise ValueError(f"publish must be rename or rewrite: {self.publish}")
 
+    @property
+    def renames(self) -> bool:
+        if self.fmt == "delta":
+            return False
+        by_scheme = urlsplit(self.root).scheme in RENAMING_SCHEMES
+        return by_scheme if self.publish is None else self.publish == "rename"
+
     @classmethod
     def from_env(cls, spec: DatasetSpec, default: str = "data", **options) -> Lake:
         return cls(os.environ.get("DATA_ROOT", default), spec, **options)
@@ -136,13 +146,13 @@ def publish_layer(
     spark: SparkSession, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Replaces the layer by its staged version and returns the table read back."""
-    if lake.fmt == "delta" or lake.publish == "rewrite":
+    if lake.renames:
+        _swap(spark, lake, layer)
+    else:
         staged = _load(spark, lake, layer, lake.staging(layer))
         _write(staged, lake.fmt, lake.path(layer), partition_by)
         staging = _hadoop_path(spark, lake.staging(layer))
         _file_system(spark, staging).delete(staging, True)
-    else:
-        _swap(spark, lake, layer)
     spark.catalog.refreshByPath(lake.path(layer))
     return read_layer(spark, lake, layer)
 
@@ -178,15 +188,18 @@ def _swap(spark: SparkSession, lake: Lake, layer: str) -> None:
 def replace_layer(
     df: DataFrame, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Full overwrite. Readers see the old table until the new one is complete.
+    """Full overwrite of a layer that needs no audit before it is published.
 
-    Delta is atomic by itself, so there the staged copy would be a second write.
+    Where folders can be renamed, readers see the old table until the new one is
+    complete. Elsewhere the table is written in place, as a staged copy would
+    have to be written twice.
     """
-    if lake.fmt == "delta":
-        _write(df, lake.fmt, lake.path(layer), partition_by)
-        return read_layer(df.sparkSession, lake, layer)
-    stage_layer(df, lake, layer, partition_by)
-    return publish_layer(df.sparkSession, lake, layer, partition_by)
+    if lake.renames:
+        stage_layer(df, lake, layer, partition_by)
+        return publish_layer(df.sparkSession, lake, layer, partition_by)
+    _write(df, lake.fmt, lake.path(layer), partition_by)
+    df.sparkSession.catalog.refreshByPath(lake.path(layer))
+    return read_layer(df.sparkSession, lake, layer)
 
 
 def register_layers(spark: SparkSession, lake: Lake) -> list[str]:

@@ -305,6 +305,9 @@ def test_paths(monkeypatch):
     assert Lake.from_env(TRIPS).root == "/data/elsewhere"
     monkeypatch.delenv("DATA_ROOT")
     assert Lake.from_env(TRIPS, default="here").root == "here"
+    assert not lake.renames and Lake("s3a://b", TRIPS, publish="rename").renames
+    assert Lake("/lake", TRIPS).renames and Lake("hdfs://n/lake", TRIPS).renames
+    assert not Lake("/lake", TRIPS, fmt="delta").renames
     with pytest.raises(ValueError, match="publish"):
         Lake("x", TRIPS, publish="copy")
 
