@@ -48,7 +48,8 @@ def outcomes(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Rows counted by outcome, and accepted rows also by business key.
 
     Rejected rows get a NULL key, which folds them into a handful of groups per
-    task before the shuffle; only distinct accepted keys move.
+    task before the shuffle; only distinct accepted keys move. The outcome comes
+    last in the grouping, as groups are sorted by its first column on a spill.
     """
     at = typed_columns(bronze, spec)
     accepted = F.coalesce(acceptable(spec, at), F.lit(False))
@@ -60,7 +61,7 @@ def outcomes(bronze: DataFrame, spec: DatasetSpec) -> DataFrame:
             reduce(lambda left, right: left.bitwiseOR(right), bits).alias("outcome"),
             *[F.when(accepted, at[name]).alias(name) for name in spec.key],
         )
-        .groupBy("outcome", *spec.key)
+        .groupBy(*spec.key, "outcome")
         .agg(F.count(F.lit(1)).alias(COPIES))
     )
 
