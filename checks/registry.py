@@ -23,7 +23,7 @@ from stratalake.operators.keys import duplicate_rows
 from stratalake.operators.unify import unify
 from stratalake.plans.answers import hour_answer, month_answer, run_query
 from stratalake.plans.stages import run_all
-from stratalake.sources.lake import Lake, register_fact
+from stratalake.sources.lake import Lake, register_fact, register_layers
 from stratalake.sources.landing import read_landing
 from stratalake.spec import LOADED_AT
 
@@ -361,6 +361,30 @@ def medallion_month_answer(spark, sf_dir):
     return month_answer(spark, register_fact(spark, lake))
 
 
+@query(SILVER_SQL + HOURS_SQL)
+def medallion_hour_mart(spark, sf_dir):
+    """Landing files to the stored hour mart, read back."""
+    return run_all(spark, land_trips(spark, sf_dir)).hour_mart
+
+
+@query(
+    SILVER_SQL
+    + """
+SELECT 'bronze' AS layer, count(*) AS rows FROM bronze
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'gold_fact', count(*) FROM fact"""
+)
+def medallion_layer_counts(spark, sf_dir):
+    """Landing files to gold, then free SQL over a view per stored layer."""
+    lake = land_trips(spark, sf_dir)
+    run_all(spark, lake)
+    counts = [
+        f"SELECT '{view}' AS layer, count(*) AS rows FROM {view}"
+        for view in register_layers(spark, lake)
+    ]
+    return run_query(spark, " UNION ALL ".join(counts))
+
+
 # --- the same operators on tables as they are -----------------------------------
 
 

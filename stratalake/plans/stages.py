@@ -112,13 +112,13 @@ def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
 
     Silver is spread by key, so every task holds every month and would write a
     file for each. Rebalancing gathers a month in as many right-sized files as it
-    needs; adaptive execution splits the big months and merges the small ones.
+    needs; adaptive execution splits the big months and merges the small ones. A
+    month is one shuffle partition until then, so their number need not grow.
     """
     spec = lake.spec
     by_month = (spec.month_column,)
     rebalanced = fact(read_layer(spark, lake, "silver"), spec).hint("rebalance", *by_month)
-    with shuffle_sized_for(spark, size_in_bytes(spark, lake.path("silver"))):
-        stored = replace_layer(rebalanced, lake, "fact", by_month)
+    stored = replace_layer(rebalanced, lake, "fact", by_month)
     marts = {"month_mart": month_mart(stored, spec), "hour_mart": hour_mart(stored, spec)}
     # A mart has one row per month or hour of the day, so one file holds it.
     saved = {name: replace_layer(mart.coalesce(1), lake, name) for name, mart in marts.items()}

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from stratalake.operators.marts import fact_columns
 from stratalake.spec import LOADED_AT, SOURCE_FILE, DatasetSpec
 
-LAYERS = ("bronze", "silver", "fact", "month_mart", "hour_mart")
 # The view names under which layers can be queried.
 VIEWS = {"bronze": "bronze", "silver": "silver", "gold_fact": "fact"}
 FACT_VIEW = "fact_trips"
@@ -138,6 +137,8 @@ def stage_layer(
     df: DataFrame, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Writes next to the layer, not over it, and returns what was written."""
+    if lake.renames:
+        _restore(df.sparkSession, lake, layer)
     _write(df, lake.fmt, lake.staging(layer), partition_by)
     return _load(df.sparkSession, lake, layer, lake.staging(layer))
 
@@ -165,11 +166,19 @@ def _file_system(spark: SparkSession, path):
     return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def _restore(spark: SparkSession, lake: Lake, layer: str) -> None:
+    """Puts the old table back if an earlier run died while publishing."""
+    final, retired = (_hadoop_path(spark, where(layer)) for where in (lake.path, lake.retired))
+    files = _file_system(spark, final)
+    if files.exists(retired) and not files.exists(final):
+        files.rename(retired, final)
+
+
 def _swap(spark: SparkSession, lake: Lake, layer: str) -> None:
     """Moves the old table aside and the staged one into place.
 
     If the run dies between the moves, the old table is still in ``_retired``
-    and the checked one in ``_staging``.
+    and the checked one in ``_staging``; the next run starts by restoring it.
     """
     staged, final, retired = (
         _hadoop_path(spark, where(layer)) for where in (lake.staging, lake.path, lake.retired)

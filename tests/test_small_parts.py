@@ -40,17 +40,17 @@ def test_rounding_is_half_up(spark):
 
 @pytest.mark.parametrize(
     ("size", "current", "expected"),
-    [(0, 8, 8), (GIB, 8, 8), (9 * GIB + 1, 8, 10), (100 << 40, 200, 102_400)],
+    [(0, 8, 8), (GIB, 8, 8), (18 * GIB + 1, 8, 10), (100 << 40, 200, 51_200)],
 )
 def test_reducers_follow_the_input(size, current, expected):
     assert reducers_for(size, current) == expected
 
 
 def test_shuffle_setting_is_restored(spark):
-    with shuffle_sized_for(spark, 20 * GIB) as wanted:
+    with shuffle_sized_for(spark, 40 * GIB) as wanted:
         assert (wanted, spark.conf.get(SETTING)) == (20, "20")
     assert spark.conf.get(SETTING) == "8"
-    with pytest.raises(RuntimeError), shuffle_sized_for(spark, 20 * GIB):
+    with pytest.raises(RuntimeError), shuffle_sized_for(spark, 40 * GIB):
         raise RuntimeError
     assert spark.conf.get(SETTING) == "8"
 

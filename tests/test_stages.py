@@ -150,6 +150,17 @@ def test_failed_gate_leaves_silver_as_it_was(spark, lake):
     assert os.path.exists(lake.staging("silver"))
 
 
+def test_a_run_that_died_while_publishing_is_undone(spark, lake):
+    run_all(spark, lake)
+    before = contents(read_layer(spark, lake, "silver"))
+    os.makedirs(os.path.dirname(lake.retired("silver")), exist_ok=True)
+    os.rename(lake.path("silver"), lake.retired("silver"))
+    land(spark, lake, "2023-05", [*MAY, trip(riders=10.0)])
+    with pytest.raises(DataQualityError):
+        run_silver(spark, lake, run_bronze(spark, lake))
+    assert contents(read_layer(spark, lake, "silver")) == before
+
+
 def test_nothing_survives_cleaning(spark, lake):
     land(spark, lake, "2023-05", [trip(amount=-1.0)])
     bronze = run_bronze(spark, lake, ["2023-05"])
