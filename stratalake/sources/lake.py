@@ -94,7 +94,7 @@ def _declared_schema(spec: DatasetSpec, layer: str) -> T.StructType | None:
     """
     columns = dict(spec.columns)
     if layer == "silver":
-        columns |= {SOURCE_FILE: "string", LOADED_AT: "timestamp"}
+        columns |= {SOURCE_FILE: "string", LOADED_AT: "timestamp_ltz"}
     elif layer == "fact":
         columns |= {spec.month_column: "string", spec.hour_column: "int"}
     else:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +23,9 @@ from stratalake import (
     run_silver,
     save_fact_table,
 )
+from stratalake.operators.conform import silver
 from stratalake.operators.reports import rows_by_file
+from stratalake.plans.stages import GoldResult
 from stratalake.sources.lake import layer_exists, read_layer, size_in_bytes
 from stratalake.spec import TRIPS
 
@@ -54,15 +56,42 @@ def land(spark, lake, period, rows, vendor_type="bigint"):
     )
 
 
-@pytest.fixture
-def lake(spark, tmp_path) -> Lake:
+def landed(spark, folder) -> Lake:
     spec = replace(FOLDERS, periods=("2023-01", "2023-05"))
-    lake = Lake(str(tmp_path / "lake"), spec)
+    lake = Lake(str(folder / "lake"), spec)
     land(spark, lake, "2023-01", JANUARY, "int")
     land(spark, lake, "2023-05", MAY)
     return lake
 
 
+@pytest.fixture
+def lake(spark, tmp_path) -> Lake:
+    return landed(spark, tmp_path)
+
+
+@dataclass
+class Run:
+    lake: Lake
+    gold: GoldResult
+    plans: list[str]
+    """What Spark recorded of every query it executed."""
+
+
+@pytest.fixture(scope="module")
+def done(spark, tmp_path_factory) -> Run:
+    """One whole run, for tests that only look at it."""
+    lake = landed(spark, tmp_path_factory.mktemp("done"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    known = store.executionsList().size()
+    gold = run_all(spark, lake)
+    executions = store.executionsList()
+    plans = [
+        executions.apply(number).physicalPlanDescription()
+        for number in range(known, executions.size())
+    ]
+    return Run(lake, gold, plans)
+
+
 def rows_of(df):
     return [tuple(row) for row in df.collect()]
 
@@ -71,8 +100,8 @@ def contents(df):
     return sorted(map(repr, rows_of(df.drop("ingestion_timestamp"))))
 
 
-def test_landing_to_gold(spark, lake):
-    gold = run_all(spark, lake)
+def test_landing_to_gold(spark, done):
+    lake, gold = done.lake, done.gold
     assert rows_of(gold.month_mart) == [("2023-01", 15.0, 2), ("2023-05", 43.33, 3)]
     assert rows_of(gold.hour_mart) == [(23, 1.5, 2)]
     assert gold.fact.dtypes == [
@@ -89,12 +118,11 @@ def test_landing_to_gold(spark, lake):
     assert rows_of(hour_answer(spark, view, "2023-01")) == [(9, 1.0, 1)]
 
 
-def test_bronze_keeps_everything_and_its_origin(spark, lake):
-    bronze = run_bronze(spark, lake)
-    assert bronze.rows == 10
-    assert bronze.table.filter("tip = 1.5").count() == 10
-    assert dict(bronze.table.dtypes)["VendorID"] == "bigint"
-    assert rows_of(rows_by_file(bronze.table)) == [
+def test_bronze_keeps_everything_and_its_origin(spark, done):
+    bronze = read_layer(spark, done.lake, "bronze")
+    assert bronze.filter("tip = 1.5").count() == 10
+    assert dict(bronze.dtypes)["VendorID"] == "bigint"
+    assert rows_of(rows_by_file(bronze)) == [
         ("yellow_tripdata_2023-01.parquet", 4),
         ("yellow_tripdata_2023-05.parquet", 6),
     ]
@@ -238,8 +266,8 @@ def test_views_appear_as_layers_do(spark, lake):
     assert run_query(spark, "SELECT * FROM bronze", limit=3).count() == 3
 
 
-def test_fact_as_catalog_table(spark, lake):
-    run_all(spark, lake)
+def test_fact_as_catalog_table(spark, done):
+    lake = done.lake
     table = save_fact_table(spark, lake, "trips_catalogued")
     assert contents(table.select(read_layer(spark, lake, "fact").columns)) == contents(
         read_layer(spark, lake, "fact")
@@ -249,8 +277,8 @@ def test_fact_as_catalog_table(spark, lake):
     spark.sql("DROP TABLE trips_catalogued")
 
 
-def test_a_month_is_a_folder_and_the_hour_mart_reads_only_that(spark, lake):
-    fact = run_all(spark, lake).fact
+def test_a_month_is_a_folder_and_the_hour_mart_reads_only_that(spark, done):
+    lake, fact = done.lake, done.gold.fact
     assert sorted(name for name in os.listdir(lake.path("fact")) if "=" in name) == [
         "pickup_month=2023-01",
         "pickup_month=2023-05",
@@ -262,46 +290,40 @@ def test_a_month_is_a_folder_and_the_hour_mart_reads_only_that(spark, lake):
     assert fact.count() == 5
 
 
-def test_cleaning_reaches_the_bronze_scan(spark, lake):
-    from stratalake.operators.conform import silver
-
-    run_bronze(spark, lake)
-    plan = plan_of(silver(read_layer(spark, lake, "bronze"), lake.spec))
+def test_cleaning_reaches_the_bronze_scan(spark, done):
+    plan = plan_of(silver(read_layer(spark, done.lake, "bronze"), done.lake.spec))
     assert "GreaterThanOrEqual(total_amount,0.0)" in plan
     assert "GreaterThanOrEqual(tpep_pickup_datetime,2023-01-01T00:00)" in plan
     assert "tip" not in plan
 
 
-def scans_since(spark, known: int, path: str) -> int:
-    """How many executed queries read ``path``, from Spark's own record of them."""
-    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
-    plans = [
-        executions.apply(number).physicalPlanDescription()
-        for number in range(known, executions.size())
-    ]
-    return sum(f"[file:{path}]" in plan and "Scan" in plan for plan in plans)
+def test_a_run_reads_bronze_twice_and_silver_once(done):
+    """Bronze: once for gate and diagnostics together, once to write silver."""
+    lake = done.lake
 
+    def scans(path: str) -> int:
+        return sum(f"[file:{path}]" in plan and "Scan" in plan for plan in done.plans)
 
-def executions_so_far(spark) -> int:
-    return spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    assert scans(lake.path("bronze")) == 2
+    assert scans(lake.staging("silver")) == 1
+    assert scans(lake.path("silver")) == 1
 
 
-def test_a_run_reads_bronze_twice(spark, lake):
-    """Once for gate and diagnostics together, once to write silver."""
-    known = executions_so_far(spark)
-    run_all(spark, lake)
-    assert scans_since(spark, known, lake.path("bronze")) == 2
-    assert scans_since(spark, known, lake.staging("silver")) == 1
-    assert scans_since(spark, known, lake.path("silver")) == 1
+def test_no_python_in_any_plan(done):
+    assert done.plans
+    for plan in done.plans:
+        assert "EvalPython" not in plan and "InPandas" not in plan
 
 
-def test_no_python_in_any_plan(spark, lake):
-    known = executions_so_far(spark)
-    run_all(spark, lake)
-    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
-    for number in range(known, executions.size()):
-        plan = executions.apply(number).physicalPlanDescription()
-        assert "EvalPython" not in plan and "InPandas" not in plan
+def test_the_fact_is_rebalanced_by_month(done):
+    assert sum("REBALANCE_PARTITIONS_BY_COL" in plan for plan in done.plans) == 1
+
+
+def test_mart_of_a_month_without_trips_is_empty(spark, lake):
+    gold = run_all(spark, lake, ["2023-01"])
+    assert rows_of(gold.hour_mart) == []
+    assert gold.hour_mart.columns == ["pickup_hour", "avg_passenger_count", "trips"]
+    assert rows_of(gold.month_mart) == [("2023-01", 15.0, 2)]
 
 
 def test_paths(monkeypatch):
@@ -323,8 +345,8 @@ def test_paths(monkeypatch):
         Lake("x", TRIPS, publish="copy")
 
 
-def test_size_counts_every_file(spark, lake):
-    run_bronze(spark, lake)
+def test_size_counts_every_file(spark, done):
+    lake = done.lake
     total = sum(
         os.path.getsize(os.path.join(lake.path("bronze"), name))
         for name in os.listdir(lake.path("bronze"))
