@@ -18,6 +18,7 @@ from checks.trips_fixture import (
     trips,
 )
 from stratalake.functions.times import hour_bucket, month_bucket
+from stratalake.functions.typed import wall_clock
 from stratalake.operators import conform, gates, marts, reports
 from stratalake.operators.keys import duplicate_rows
 from stratalake.operators.unify import unify
@@ -396,7 +397,8 @@ FROM lineitem GROUP BY 1"""
 )
 def monthly_amount_lineitem(spark, sf_dir):
     items = load(spark, sf_dir, "lineitem")
-    dated = items.select(month_bucket(F.col("l_shipdate")).alias("ship_month"), "l_extendedprice")
+    month = month_bucket(wall_clock(items, "l_shipdate"))
+    dated = items.select(month.alias("ship_month"), "l_extendedprice")
     return marts.average_by(dated, "ship_month", "l_extendedprice", 2, "avg_price", "items")
 
 
@@ -408,7 +410,7 @@ FROM events WHERE value > 0 GROUP BY 1"""
 )
 def hourly_value_events(spark, sf_dir):
     events = load(spark, sf_dir, "events").filter(F.col("value") > 0)
-    timed = events.select(hour_bucket(F.col("ts")).alias("event_hour"), "value")
+    timed = events.select(hour_bucket(wall_clock(events, "ts")).alias("event_hour"), "value")
     return marts.average_by(timed, "event_hour", "value", 3, "avg_value", "events")
 
 

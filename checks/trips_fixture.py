@@ -11,6 +11,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.functions.typed import wall_clock
 from stratalake.spec import TRIPS
 
 TRIPS_2024 = replace(
@@ -47,7 +48,7 @@ def events_as_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     riders = F.when(~_every(37), F.when(_every(53), 0).otherwise(1 + F.col("user_id") % 5))
     value = F.col("value")
     amount = F.when(_every(113), -value).when(~_every(211), value)
-    pickup = F.col("ts") + _days(31 * (number % 6))
+    pickup = wall_clock(events, "ts") + _days(31 * (number % 6))
     ride = F.when(_every(97), F.lit(0)).otherwise(1 + number % 45)
     second = F.col("copy") == 1
     part = F.concat(F.lit("trips_"), (number % 6).cast("string"), F.lit(".parquet"))

@@ -28,6 +28,11 @@ def coerce(column: Column, actual: T.DataType, target: str) -> Column:
     return column.try_cast(target)
 
 
+def wall_clock(df: DataFrame, name: str) -> Column:
+    """A time column as ``timestamp_ntz``, however the session reads stored times."""
+    return coerce(F.col(name), field_types(df)[name.lower()], "timestamp_ntz")
+
+
 def typed_columns(df: DataFrame, spec: DatasetSpec) -> dict[str, Column]:
     present = field_types(df)
     return {

@@ -55,6 +55,30 @@ def test_query_equals_oracle(spark, duck, name):
     assert rows_by_column(df.columns, df.collect()) == rows_by_column(names, answer.fetchall())
 
 
+SETTINGS = {
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    "spark.sql.timestampType": "TIMESTAMP_NTZ",
+    "spark.sql.session.timeZone": "Asia/Tokyo",
+}
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["landing_ingest", "silver_dedup", "q2_sql", "medallion_month_answer", "hourly_value_events"],
+)
+def test_answers_do_not_depend_on_session_settings(spark, duck, name):
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    try:
+        for key, value in SETTINGS.items():
+            spark.conf.set(key, value)
+        test_query_equals_oracle(spark, duck, name)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_entry_is_the_month_answer(spark):
     assert [row.pickup_month for row in contract.entry(spark).collect()] == [
         "2024-01",
