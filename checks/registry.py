@@ -49,19 +49,23 @@ def query(oracle: str) -> Callable[[Query], Query]:
 def drifted_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The trips as three deliveries whose schemas differ in type, case and columns.
 
-    Each trip is in exactly one of them.
+    Each trip is in exactly one of them, by the type of its event.
     """
     source = events_as_trips(spark, sf_dir)
     shared = ("total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime")
+    kind = F.col("event_type")
+    sender = F.when(kind.isin("click", "view"), "int").when(kind == "signup", "extra")
 
-    def delivery(turn: int, *columns: Column) -> DataFrame:
-        return source.filter(F.col("event_id") % 3 == turn).select(*columns, *shared)
+    def delivery(name: str, *columns: Column) -> DataFrame:
+        sent = F.coalesce(sender, F.lit("whole")) == name
+        return source.filter(sent).select(*columns, *shared)
 
     vendor, riders = F.col("VendorID"), F.col("passenger_count")
+    whole_riders = riders.cast("bigint").alias("passenger_count")
     return {
-        "int": delivery(0, vendor.cast("int").alias("VendorID"), riders),
-        "extra": delivery(1, vendor, riders, F.col("event_type")),
-        "whole": delivery(2, vendor.alias("vendorid"), riders.cast("bigint").alias("passenger_count")),
+        "int": delivery("int", vendor.cast("int").alias("VendorID"), riders),
+        "extra": delivery("extra", vendor, riders, kind),
+        "whole": delivery("whole", vendor.alias("vendorid"), whole_riders),
     }
 
 
@@ -75,10 +79,11 @@ def land_trips(spark: SparkSession, sf_dir: str) -> Lake:
 
 DELIVERED_SQL = """
 SELECT VendorID, passenger_count, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
-       CASE WHEN event_id % 3 = 1 THEN event_type END AS event_type"""
+       CASE WHEN event_type = 'signup' THEN event_type END AS event_type"""
 DELIVERY_NAME_SQL = """,
-       CASE event_id % 3 WHEN 0 THEN 'trips_int.parquet' WHEN 1 THEN 'trips_extra.parquet'
-                         ELSE 'trips_whole.parquet' END AS source_file"""
+       CASE WHEN event_type IN ('click', 'view') THEN 'trips_int.parquet'
+            WHEN event_type = 'signup' THEN 'trips_extra.parquet'
+            ELSE 'trips_whole.parquet' END AS source_file"""
 
 
 @query(TRIPS_SQL + DELIVERED_SQL + " FROM bronze")
