@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from conftest import trip
 from stratalake.operators import reports
+from stratalake.operators.conform import silver
 from stratalake.plans.stages import discards
 from stratalake.spec import TRIPS
 
@@ -67,3 +69,32 @@ def test_rows_by_file_is_sorted(bronze_of):
     bronze = bronze_of(trip(source="b"), trip(source="a"), trip(source="b"))
     rows = [tuple(row) for row in reports.rows_by_file(bronze).collect()]
     assert rows == [("a", 1), ("b", 2)]
+
+
+def test_a_key_without_the_judged_columns(bronze_of):
+    """Reports then count rows where they otherwise count keys, with equal results."""
+    narrow = replace(TRIPS, key=("VendorID",))
+    bronze = bronze_of(
+        trip(amount=-1.0),
+        trip(vendor=2, pickup="2001-01-01 00:00:00"),
+        trip(vendor=2, riders=None, source="b"),
+        trip(vendor=2, riders=5.0, source="a"),
+        trip(vendor=None, amount=0.0),
+        trip(vendor=None, amount=None),
+    )
+    wide, found = (reports.profile(bronze, spec).first().asDict() for spec in (TRIPS, narrow))
+    assert (wide.pop("duplicate_keys"), found.pop("duplicate_keys")) == (1, 3)
+    del wide["duplicate_keys_pct"], found["duplicate_keys_pct"]
+    assert found == wide
+
+    reasons = {row.reason: row["rows"] for row in reports.reject_reasons(bronze, narrow).collect()}
+    assert reasons == {
+        "negative_amount": 1,
+        "bad_interval": 0,
+        "out_of_range": 1,
+        "null_predicate": 1,
+        "duplicate_key": 1,
+        "kept": 2,
+    }
+    kept = sorted((row.VendorID or 0, row.source_file) for row in silver(bronze, narrow).collect())
+    assert kept == [(0, "a.parquet"), (2, "a")]
