@@ -30,7 +30,10 @@ from stratalake.sources.lake import (
     stage_layer,
 )
 from stratalake.sources.landing import read_landing
+from stratalake.spec import DatasetSpec
 
+# Parts of a month where sizes are not known at run time.
+MONTH_PARTS = 64
 DISCARD_COLUMNS = ("total", *RULES, "duplicates", "kept")
 
 
@@ -107,18 +110,30 @@ def discards(spark: SparkSession, counts: Row, kept: int) -> DataFrame:
     return report.withColumn("kept_pct", percent(F.col("kept"), F.col("total")))
 
 
+def gather_months(table: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Brings the rows of a month together, a large month in several partitions.
+
+    Adaptive execution splits months by size. Without it a salt from the key
+    splits every month alike, so that no month ends in one task.
+    """
+    adaptive = table.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true"
+    if adaptive:
+        return table.hint("rebalance", spec.month_column)
+    salt = F.pmod(F.xxhash64(*spec.key), F.lit(MONTH_PARTS))
+    return table.repartition(F.col(spec.month_column), salt)
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
     """Fact table split by month, and the two marts.
 
     Silver is spread by key, so every task holds every month and would write a
-    file for each. Rebalancing gathers a month in as many right-sized files as it
-    needs; adaptive execution splits the big months and merges the small ones. A
-    month is one shuffle partition until then, so their number need not grow.
+    file for each. Gathering the months first gives each as many right-sized files
+    as it needs. A month is one shuffle partition until adaptive execution splits
+    it, so the number of partitions need not grow.
     """
     spec = lake.spec
-    by_month = (spec.month_column,)
-    rebalanced = fact(read_layer(spark, lake, "silver"), spec).hint("rebalance", *by_month)
-    stored = replace_layer(rebalanced, lake, "fact", by_month)
+    gathered = gather_months(fact(read_layer(spark, lake, "silver"), spec), spec)
+    stored = replace_layer(gathered, lake, "fact", (spec.month_column,))
     marts = {"month_mart": month_mart(stored, spec), "hour_mart": hour_mart(stored, spec)}
     # A mart has one row per month or hour of the day, so one file holds it.
     saved = {name: replace_layer(mart.coalesce(1), lake, name) for name, mart in marts.items()}

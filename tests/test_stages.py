@@ -231,9 +231,15 @@ def test_other_file_formats(spark, lake):
     assert register_layers(spark, orc) == ["bronze", "silver", "gold_fact"]
 
 
-def test_a_large_month_is_split_into_files(spark, lake):
+@pytest.mark.parametrize(
+    ("setting", "value"),
+    [
+        ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"),
+        ("spark.sql.adaptive.enabled", "false"),
+    ],
+)
+def test_a_large_month_is_split_into_files(spark, lake, setting, value):
     """A month holding most rows must not end in one task."""
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     busy = spark.range(0, 200_000, 1, 8).selectExpr(
         "CAST(id % 2 AS INT) AS VendorID",
         "1.0D AS passenger_count",
@@ -243,7 +249,7 @@ def test_a_large_month_is_split_into_files(spark, lake):
     )
     busy.write.mode("overwrite").parquet(lake.landing("2023-05"))
     run_silver(spark, lake, run_bronze(spark, lake))
-    spark.conf.set(setting, "256k")
+    spark.conf.set(setting, value)
     try:
         fact = run_gold(spark, lake).fact
     finally:
