@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from stratalake.llm.bpe import op5_bpe
 from stratalake.llm.substring_dedup import op3_substring_dedup
 
-QUERIES = {query.__name__: query for query in (op3_substring_dedup,)}
+QUERIES = {query.__name__: query for query in (op3_substring_dedup, op5_bpe)}
 
 ORACLES: dict[str, str] = {}
