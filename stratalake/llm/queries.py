@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from stratalake.llm.bpe import op5_bpe
+from stratalake.llm.chat_format import op4_chat_format
+from stratalake.llm.language_id import op10_language_id
+from stratalake.llm.mixing import op7_mixing
 from stratalake.llm.substring_dedup import op3_substring_dedup
 
-QUERIES = {query.__name__: query for query in (op3_substring_dedup, op5_bpe)}
+QUERIES = {
+    query.__name__: query
+    for query in (op3_substring_dedup, op4_chat_format, op5_bpe, op7_mixing, op10_language_id)
+}
 
 ORACLES: dict[str, str] = {}
