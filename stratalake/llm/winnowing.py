@@ -109,11 +109,11 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     begins = F.array_contains(F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>"), id_key())
     own = F.struct(F.col("block").alias("block"), F.lit(0).alias("guest"))
     also = F.struct(F.pmod(F.col("block") - 1, F.lit(len(bounds))).alias("block"), F.lit(1).alias("guest"))
-    rows = rows.withColumn("place", F.explode(F.when(begins, F.array(own, also)).otherwise(F.array(own)))).drop("block")
-    order = Window.partitionBy("place.block").orderBy("place.guest", id_key(), "text")
-    for name in carried:
-        rows = rows.withColumn(f"next_{name}", F.lead(name).over(order))
-    return rows.filter("place.guest = 0").drop("place")
+    rows = rows.select("*", F.explode(F.when(begins, F.array(own, also)).otherwise(F.array(own))).alias("place"))
+    rows = rows.select(*docs.columns, F.col("place.block").alias("block"), F.col("place.guest").alias("guest"), id_key().alias("key"))
+    order = Window.partitionBy("block").orderBy("guest", "key", "text")
+    following = [F.lead(name).over(order).alias(f"next_{name}") for name in carried]
+    return rows.select(*docs.columns, "guest", *following).filter("guest = 0").drop("guest")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
