@@ -6,12 +6,13 @@ from stratalake.llm.bpe import op5_bpe
 from stratalake.llm.chat_format import op4_chat_format
 from stratalake.llm.language_id import op10_language_id
 from stratalake.llm.mixing import op7_mixing
+from stratalake.llm.personal_data import op9_personal_data
 from stratalake.llm.substring_dedup import op3_substring_dedup
 from stratalake.llm.winnowing import op1_winnowing
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_winnowing, op3_substring_dedup, op4_chat_format, op5_bpe, op7_mixing, op10_language_id)
+    for query in (op1_winnowing, op3_substring_dedup, op4_chat_format, op5_bpe, op7_mixing, op9_personal_data, op10_language_id)
 }
 
 ORACLES: dict[str, str] = {}
