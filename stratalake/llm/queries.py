@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratalake.llm.bpe import op5_bpe
 from stratalake.llm.chat_format import op4_chat_format
+from stratalake.llm.jaccard_join import op8_jaccard_join
 from stratalake.llm.language_id import op10_language_id
 from stratalake.llm.mixing import op7_mixing
 from stratalake.llm.personal_data import op9_personal_data
@@ -12,7 +13,16 @@ from stratalake.llm.winnowing import op1_winnowing
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_winnowing, op3_substring_dedup, op4_chat_format, op5_bpe, op7_mixing, op9_personal_data, op10_language_id)
+    for query in (
+        op1_winnowing,
+        op3_substring_dedup,
+        op4_chat_format,
+        op5_bpe,
+        op7_mixing,
+        op8_jaccard_join,
+        op9_personal_data,
+        op10_language_id,
+    )
 }
 
 ORACLES: dict[str, str] = {}
