@@ -9,12 +9,14 @@ from stratalake.llm.language_id import op10_language_id
 from stratalake.llm.mixing import op7_mixing
 from stratalake.llm.personal_data import op9_personal_data
 from stratalake.llm.substring_dedup import op3_substring_dedup
+from stratalake.llm.warc import op2_warc
 from stratalake.llm.winnowing import op1_winnowing
 
 QUERIES = {
     query.__name__: query
     for query in (
         op1_winnowing,
+        op2_warc,
         op3_substring_dedup,
         op4_chat_format,
         op5_bpe,
