@@ -9,6 +9,7 @@ from stratalake.llm.language_id import op10_language_id
 from stratalake.llm.mixing import op7_mixing
 from stratalake.llm.personal_data import op9_personal_data
 from stratalake.llm.substring_dedup import op3_substring_dedup
+from stratalake.llm.voronoi_knn import op6_voronoi_knn
 from stratalake.llm.warc import op2_warc
 from stratalake.llm.winnowing import op1_winnowing
 
@@ -20,6 +21,7 @@ QUERIES = {
         op3_substring_dedup,
         op4_chat_format,
         op5_bpe,
+        op6_voronoi_knn,
         op7_mixing,
         op8_jaccard_join,
         op9_personal_data,
