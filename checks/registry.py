@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,8 @@ from stratalake.operators import conform, gates, marts, reports
 from stratalake.operators.keys import duplicate_rows
 from stratalake.operators.unify import unify
 from stratalake.plans.answers import hour_answer, month_answer, run_query
-from stratalake.plans.stages import run_all
-from stratalake.sources.lake import Lake, register_fact, register_layers
+from stratalake.plans.stages import run_all, run_bronze
+from stratalake.sources.lake import Lake, register_fact, register_layers, save_fact_table
 from stratalake.sources.landing import read_landing
 from stratalake.spec import LOADED_AT
 
@@ -391,6 +393,99 @@ def medallion_layer_counts(spark, sf_dir):
     return run_query(spark, " UNION ALL ".join(counts))
 
 
+# --- drift, subsets and nested folders ------------------------------------------
+
+TEXT_DRIFT_SQL = (
+    TRIPS_SQL
+    + """,
+sent AS (
+    SELECT VendorID, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime, source_file,
+           passenger_count, event_id % 3 = 2 AND event_id % 17 = 0 AS lost
+    FROM bronze)
+"""
+)
+
+
+def text_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries: counts as doubles, as whole numbers, and as text that is no number at times."""
+    source = events_as_trips(spark, sf_dir)
+    event, riders = F.col("event_id"), F.col("passenger_count")
+    text = F.when(event % 17 == 0, F.when(riders.isNotNull(), "x")).otherwise(riders.cast("bigint").cast("string"))
+    others = [c for c in (*TRIPS_2024.required, "source_file", LOADED_AT) if c != "passenger_count"]
+    shapes = {0: riders, 1: riders.cast("bigint"), 2: text}
+    return unify(
+        [
+            source.filter(event % 3 == number).select(*others, shape.alias("passenger_count"))
+            for number, shape in shapes.items()
+        ]
+    )
+
+
+@query(
+    TEXT_DRIFT_SQL
+    + """
+SELECT CAST(VendorID AS INTEGER) AS VendorID,
+       CASE WHEN NOT lost THEN CAST(trunc(passenger_count) AS INTEGER) END AS passenger_count,
+       total_amount, tpep_pickup_datetime, tpep_dropoff_datetime, source_file
+FROM sent"""
+)
+def drift_text_conformed(spark, sf_dir):
+    return conform.conform(text_drift(spark, sf_dir), TRIPS_2024).drop(LOADED_AT)
+
+
+@query(
+    TEXT_DRIFT_SQL
+    + """
+SELECT count(*) AS total, count(*) FILTER (lost AND passenger_count IS NOT NULL) AS nulled_by_cast
+FROM sent"""
+)
+def drift_text_losses(spark, sf_dir):
+    return reports.diagnostics(text_drift(spark, sf_dir), TRIPS_2024).select("total", "nulled_by_cast")
+
+
+@query(TRIPS_SQL + DELIVERED_SQL + DELIVERY_NAME_SQL + " FROM bronze")
+def landing_nested(spark, sf_dir):
+    """Deliveries whose files lie in folders of their own, one of them named like a partition."""
+    lake = Lake(scratch_folder(spark), replace(TRIPS_2024, lineage_level="folder"))
+    for period, part in drifted_parts(spark, sf_dir).items():
+        late = F.col("VendorID") % 2 == 0
+        part.filter(~late).write.mode("overwrite").parquet(lake.landing(period))
+        part.filter(late).write.parquet(f"{lake.landing(period)}/region=late")
+    paths = [lake.landing(period) for period in lake.spec.periods]
+    return read_landing(spark, paths, lake.spec.lineage_level).drop(LOADED_AT)
+
+
+@query(
+    TRIPS_SQL
+    + DELIVERED_SQL
+    + DELIVERY_NAME_SQL
+    + " FROM bronze WHERE event_type IN ('click', 'view', 'signup')"
+)
+def bronze_subset(spark, sf_dir):
+    """Two of three periods."""
+    lake = land_trips(spark, sf_dir)
+    return run_bronze(spark, lake, ["int", "extra"]).table.drop(LOADED_AT)
+
+
+@query(
+    SILVER_SQL.replace("FROM events", "FROM events WHERE event_type NOT IN ('click', 'view', 'signup')")
+    + MONTHS_SQL
+)
+def medallion_subset_rerun(spark, sf_dir):
+    """All periods, then one alone: nothing of the others may stay in the fact."""
+    lake = land_trips(spark, sf_dir)
+    run_all(spark, lake)
+    run_all(spark, lake, ["whole"])
+    return month_answer(spark, register_fact(spark, lake))
+
+
+@query(SILVER_SQL + "SELECT * FROM fact")
+def fact_catalog_table(spark, sf_dir):
+    lake = land_trips(spark, sf_dir)
+    run_all(spark, lake)
+    return save_fact_table(spark, lake, f"fact_{uuid.uuid4().hex}")
+
+
 # --- the same operators on tables as they are -----------------------------------
 
 

@@ -21,8 +21,9 @@ def utc_wall_clock(instant: Column) -> Column:
 
 
 def month_bucket(when: Column) -> Column:
-    """``yyyy-MM`` of a ``timestamp_ntz``."""
-    year = F.lpad(F.year(when).cast("string"), 4, "0")
+    """``yyyy-MM`` of a ``timestamp_ntz``; years beyond 9999 keep all their digits."""
+    year = F.year(when).cast("string")
+    year = F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year)
     month = F.lpad(F.month(when).cast("string"), 2, "0")
     return F.concat(year, F.lit("-"), month)
 

@@ -10,6 +10,10 @@ from stratalake.functions.times import utc_wall_clock
 from stratalake.spec import DatasetSpec
 
 
+# Types that a text with a decimal point still has to reach.
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
 def field_types(df: DataFrame) -> dict[str, T.DataType]:
     """Column types by lower-case name, as column lookup ignores case."""
     return {field.name.lower(): field.dataType for field in df.schema.fields}
@@ -18,6 +22,8 @@ def field_types(df: DataFrame) -> dict[str, T.DataType]:
 def coerce(column: Column, actual: T.DataType, target: str) -> Column:
     """``column`` as ``target``; a value that does not fit becomes NULL.
 
+    Text becomes a whole number as its number would: exactly where it is whole, else cut.
+
     A column that already has the type is returned untouched, which keeps
     comparisons on it eligible for the Parquet scan.
     """
@@ -25,7 +31,12 @@ def coerce(column: Column, actual: T.DataType, target: str) -> Column:
         return column
     if target == "timestamp_ntz" and isinstance(actual, T.TimestampType):
         return utc_wall_clock(column)
-    return column.try_cast(target)
+    cast = column.try_cast(target)
+    if isinstance(actual, T.StringType) and target in WHOLE_NUMBERS:
+        # A delivery of doubles that met one of text arrives as "1.0", and one of booleans as "true".
+        written = F.when(F.lower(F.trim(column)).isin("true", "false"), column.try_cast("boolean"))
+        return F.coalesce(cast, column.try_cast("double").try_cast(target), written.try_cast(target))
+    return cast
 
 
 def wall_clock(df: DataFrame, name: str) -> Column:

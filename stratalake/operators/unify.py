@@ -27,8 +27,8 @@ def _common_decimal(kinds: Sequence[T.DataType]) -> T.DataType:
     ]
     scale = max(scale for _, scale in shapes)
     digits = max(precision - scale for precision, scale in shapes) + scale
-    # A decimal that cannot hold every digit would turn large values into NULL.
-    return T.DecimalType(digits, scale) if digits <= _MAX_DIGITS else T.DoubleType()
+    # Beyond that no number type keeps every digit; text does, as for other disagreements.
+    return T.DecimalType(digits, scale) if digits <= _MAX_DIGITS else T.StringType()
 
 
 def common_type(kinds: Sequence[T.DataType]) -> T.DataType | None:

@@ -19,8 +19,8 @@ from stratalake.operators.gates import (
     missing_report,
 )
 from stratalake.operators.marts import fact, hour_mart, month_mart
-from stratalake.operators.reports import RULES, diagnostic_counts, percent
-from stratalake.plans.sizing import shuffle_sized_for
+from stratalake.operators.reports import RULES, diagnostic_counts, percent, rows_by_file
+from stratalake.plans.sizing import BYTES_PER_REDUCER, shuffle_sized_for
 from stratalake.sources.lake import (
     Lake,
     publish_layer,
@@ -32,8 +32,6 @@ from stratalake.sources.lake import (
 from stratalake.sources.landing import read_landing
 from stratalake.spec import DatasetSpec
 
-# Parts of a month where sizes are not known at run time.
-MONTH_PARTS = 64
 DISCARD_COLUMNS = ("total", *RULES, "duplicates", "kept")
 
 
@@ -44,12 +42,18 @@ class BronzeResult:
     counts: Row
     """Diagnostic counts, taken in the same pass as the gate."""
 
+    @property
+    def rows_by_file(self) -> DataFrame:
+        """Rows of each landing entry."""
+        return rows_by_file(self.table)
+
 
 @dataclass(frozen=True)
 class SilverResult:
     table: DataFrame
     rows: int
     discards: DataFrame
+    """The discard report, and the values that a cast turned into NULL."""
 
 
 @dataclass(frozen=True)
@@ -98,7 +102,9 @@ def run_silver(
         staged = stage_layer(silver(source, lake.spec), lake, "silver")
         rows = gate_silver(staged, lake.spec)["rows"]
     table = publish_layer(spark, lake, "silver")
-    return SilverResult(table, rows, discards(spark, counts, rows))
+    report = discards(spark, counts, rows)
+    lost = F.lit(counts.nulled_by_cast).cast("bigint")
+    return SilverResult(table, rows, report.withColumn("nulled_by_cast", lost))
 
 
 def discards(spark: SparkSession, counts: Row, kept: int) -> DataFrame:
@@ -110,16 +116,18 @@ def discards(spark: SparkSession, counts: Row, kept: int) -> DataFrame:
     return report.withColumn("kept_pct", percent(F.col("kept"), F.col("total")))
 
 
-def gather_months(table: DataFrame, spec: DatasetSpec) -> DataFrame:
+def gather_months(table: DataFrame, spec: DatasetSpec, size: int = 0) -> DataFrame:
     """Brings the rows of a month together, a large month in several partitions.
 
     Adaptive execution splits months by size. Without it a salt from the key
-    splits every month alike, so that no month ends in one task.
+    splits every month alike, into as many parts as a table of ``size`` bytes
+    needs where all of it is one month.
     """
     adaptive = table.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true"
     if adaptive:
         return table.hint("rebalance", spec.month_column)
-    salt = F.pmod(F.xxhash64(*spec.key), F.lit(MONTH_PARTS))
+    parts = max(1, -(-size // BYTES_PER_REDUCER))
+    salt = F.pmod(F.xxhash64(*spec.key), F.lit(parts))
     return table.repartition(F.col(spec.month_column), salt)
 
 
@@ -132,8 +140,10 @@ def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
     it, so the number of partitions need not grow.
     """
     spec = lake.spec
-    gathered = gather_months(fact(read_layer(spark, lake, "silver"), spec), spec)
-    stored = replace_layer(gathered, lake, "fact", (spec.month_column,))
+    size = size_in_bytes(spark, lake.path("silver"))
+    with shuffle_sized_for(spark, size):
+        gathered = gather_months(fact(read_layer(spark, lake, "silver"), spec), spec, size)
+        stored = replace_layer(gathered, lake, "fact", (spec.month_column,))
     marts = {"month_mart": month_mart(stored, spec), "hour_mart": hour_mart(stored, spec)}
     # A mart has one row per month or hour of the day, so one file holds it.
     saved = {name: replace_layer(mart.coalesce(1), lake, name) for name, mart in marts.items()}

@@ -38,7 +38,8 @@ class Lake:
     ``root`` may be any URI Spark can reach. ``publish`` says how an audited
     table replaces the old one when the format has no transactions: ``rename``
     moves folders, ``rewrite`` copies with Spark, for object stores where a
-    rename copies file by file. The default goes by the scheme of ``root``.
+    rename copies file by file. The default goes by the scheme of ``root``, or
+    where it has none by that of the file system Spark resolves it to.
     With ``delta`` the write itself is atomic.
     """
 
@@ -125,7 +126,8 @@ def layer_exists(spark: SparkSession, lake: Lake, layer: str) -> bool:
 
 
 def _write(df: DataFrame, fmt: str, path: str, partition_by: Sequence[str]) -> None:
-    writer = df.write.format(fmt).mode("overwrite")
+    # A session may be set to replace only the months that are written; here a write is whole.
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
@@ -137,7 +139,7 @@ def stage_layer(
     df: DataFrame, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Writes next to the layer, not over it, and returns what was written."""
-    if lake.renames:
+    if can_rename(df.sparkSession, lake):
         _restore(df.sparkSession, lake, layer)
     _write(df, lake.fmt, lake.staging(layer), partition_by)
     return _load(df.sparkSession, lake, layer, lake.staging(layer))
@@ -147,7 +149,7 @@ def publish_layer(
     spark: SparkSession, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Replaces the layer by its staged version and returns the table read back."""
-    if lake.renames:
+    if can_rename(spark, lake):
         _swap(spark, lake, layer)
     else:
         staged = _load(spark, lake, layer, lake.staging(layer))
@@ -158,6 +160,13 @@ def publish_layer(
     return read_layer(spark, lake, layer)
 
 
+def can_rename(spark: SparkSession, lake: Lake) -> bool:
+    """Whether moving a folder of the lake is a metadata operation."""
+    if lake.fmt == "delta" or lake.publish or urlsplit(lake.root).scheme:
+        return lake.renames
+    return _file_system(spark, _hadoop_path(spark, lake.root)).getScheme() in RENAMING_SCHEMES
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -203,7 +212,7 @@ def replace_layer(
     complete. Elsewhere the table is written in place, as a staged copy would
     have to be written twice.
     """
-    if lake.renames:
+    if can_rename(df.sparkSession, lake):
         stage_layer(df, lake, layer, partition_by)
         return publish_layer(df.sparkSession, lake, layer, partition_by)
     _write(df, lake.fmt, lake.path(layer), partition_by)
@@ -228,7 +237,9 @@ def save_fact_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """Publishes the fact as a catalog table, split by month like its files."""
     (
         read_layer(spark, lake, "fact")
-        .write.mode("overwrite")
+        .write.format(lake.fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(lake.spec.month_column)
         .saveAsTable(name)
     )

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,14 +17,23 @@ from stratalake.spec import LOADED_AT, SOURCE_FILE
 SchemaGroup = tuple[T.StructType, list[str]]
 
 
+def _reader(spark: SparkSession) -> DataFrameReader:
+    """Reads every file below a landing entry, whatever folders lie in between.
+
+    The same for all entries, so rows and columns do not depend on whether types drift. Folders
+    named ``key=value`` are folders like others; their names add no column.
+    """
+    return spark.read.option("recursiveFileLookup", "true")
+
+
 def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType | None:
     """Union of the paths' columns, or None if a column's type differs between them.
 
     Spark reads the footers in parallel on the executors.
     """
     try:
-        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
-    except Exception as error:  # arrives as a bare JVM error, without a condition
+        return _reader(spark).option("mergeSchema", "true").parquet(*paths).schema
+    except (Py4JJavaError, PySparkException) as error:  # may come without a condition
         if "CANNOT_MERGE_SCHEMAS" in str(error):
             return None
         raise
@@ -83,22 +95,39 @@ def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[SchemaGroup
     return groups
 
 
-def _origin(level: str) -> Column:
-    """Landing entry of a row: its file's name, or the name of the folder around it."""
-    if level == "file":
-        name = F.col("_metadata.file_name")
-    else:
-        path = F.col("_metadata.file_path")
-        name = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    # Spark reports names URL-encoded, except that a plus sign stays as it is.
+def _decoded(name: Column) -> Column:
+    """Spark reports names URL-encoded, except that a plus sign stays as it is."""
     decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
-def with_lineage(scan: DataFrame, level: str = "file") -> DataFrame:
+def _entry_below(path: Column, root: str) -> Column:
+    """The part of ``path`` that follows ``root``, up to the next slash; NULL elsewhere."""
+    mark = F.lit(f"/{root.strip('/')}/")
+    at = F.locate(f"/{root.strip('/')}/", path)
+    return F.when(at > 0, F.substring_index(F.substr(path, at + F.length(mark)), "/", 1))
+
+
+def _origin(level: str, roots: Sequence[str]) -> Column:
+    """Landing entry of a row: its file's name, or the name of the folder below a landing root."""
+    if level == "file":
+        return _decoded(F.col("_metadata.file_name"))
+    path = _decoded(F.col("_metadata.file_path"))
+    around = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.coalesce(*[_entry_below(path, root) for root in roots], around)
+
+
+def landing_roots(paths: Sequence[str]) -> list[str]:
+    """The folders that hold the landing entries, without scheme and host, longest first."""
+    places = {urlsplit(path).path if "://" in path else path.removeprefix("file:") for path in paths}
+    roots = {place.rstrip("/").rpartition("/")[0] for place in places}
+    return sorted((root for root in roots if root.strip("/")), key=len, reverse=True)
+
+
+def with_lineage(scan: DataFrame, level: str = "file", roots: Sequence[str] = ()) -> DataFrame:
     """Adds the landing entry a row came from and the time of the load."""
     return scan.withColumns(
-        {SOURCE_FILE: _origin(level), LOADED_AT: F.current_timestamp()}
+        {SOURCE_FILE: _origin(level, roots), LOADED_AT: F.current_timestamp()}
     )
 
 
@@ -110,7 +139,7 @@ def read_landing(spark: SparkSession, paths: Sequence[str], level: str = "file")
     if not paths:
         raise ValueError("no landing paths given")
     scans = [
-        with_lineage(spark.read.schema(schema).parquet(*members), level)
+        with_lineage(_reader(spark).schema(schema).parquet(*members), level, landing_roots(paths))
         for schema, members in schema_groups(spark, paths)
     ]
     return unify(scans)

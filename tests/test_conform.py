@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import LOADED, plan_of, trip
+from stratalake.functions.typed import coerce
 from stratalake.operators import reports
 from stratalake.operators.conform import clean, conform, keep_first, silver
 from stratalake.operators.keys import duplicate_rows
@@ -218,3 +219,16 @@ def test_against_brute_force(bronze_of, seed):
     expected = {(key, rank_of(row)) for key, row in best.items()}
     actual = {(key_of(row), rank_of(row)) for row in silver(bronze, TRIPS).collect()}
     assert actual == expected
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_text_becomes_the_number_it_is(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = [("1.0",), ("1.9",), ("-1.9",), ("1e2",), ("x",), ("3e10",), ("true",), (None,), (" 7 ",)]
+        frame = spark.createDataFrame(texts, "t string")
+        cast = coerce(F.col("t"), frame.schema["t"].dataType, "int")
+        assert [row[0] for row in frame.select(cast).collect()] == [1, 1, -1, 100, None, None, 1, None, 7]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -165,7 +165,7 @@ def test_missing_file_is_an_error(spark, tmp_path):
         ((T.FloatType(), T.IntegerType()), T.DoubleType()),
         ((T.DecimalType(10, 2), T.DecimalType(12, 4)), T.DecimalType(12, 4)),
         ((T.DecimalType(10, 2), T.LongType()), T.DecimalType(22, 2)),
-        ((T.DecimalType(38, 0), T.DecimalType(38, 10)), T.DoubleType()),
+        ((T.DecimalType(38, 0), T.DecimalType(38, 10)), T.StringType()),
         ((T.DecimalType(10, 2), T.DoubleType()), T.DoubleType()),
         ((T.DateType(), T.TimestampNTZType()), T.TimestampNTZType()),
         ((T.TimestampType(), T.TimestampType()), T.TimestampType()),

@@ -62,12 +62,21 @@ SETTINGS = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.session.timeZone": "Asia/Tokyo",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 @pytest.mark.parametrize(
     "name",
-    ["landing_ingest", "silver_dedup", "q2_sql", "medallion_month_answer", "hourly_value_events"],
+    [
+        "landing_ingest",
+        "silver_dedup",
+        "q2_sql",
+        "medallion_month_answer",
+        "medallion_subset_rerun",
+        "hourly_value_events",
+        "drift_text_conformed",
+    ],
 )
 def test_answers_do_not_depend_on_session_settings(spark, duck, name):
     before = {key: spark.conf.get(key) for key in SETTINGS}

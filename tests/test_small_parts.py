@@ -73,3 +73,9 @@ def test_trips_spec():
         "tpep_dropoff_datetime",
         "total_amount",
     }
+
+
+def test_months_keep_long_years(spark):
+    frame = spark.sql("SELECT TIMESTAMP_NTZ '2024-05-03' AS t UNION ALL SELECT make_timestamp_ntz(12023, 5, 1, 0, 0, 0) UNION ALL SELECT make_timestamp_ntz(33, 1, 1, 0, 0, 0)")
+    found = {row[0] for row in frame.select(month_bucket(F.col("t"))).collect()}
+    assert found == {"2024-05", "12023-05", "0033-01"}
