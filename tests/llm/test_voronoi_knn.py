@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+
+from stratalake.llm.voronoi_knn import op6_voronoi_knn, top_k, whole_vectors
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, k):
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    asked = {}
+    for i, v in good:
+        if i % 20 == 0:
+            asked[i] = min(asked.get(i, v), v)
+    for i, q in asked.items():
+        best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i)[:k]
+        yield from ((i, rank, j, -score) for rank, (score, j) in enumerate(best, 1))
+
+
+@pytest.mark.parametrize("copies", [0, 200])
+def test_equals_brute_force(texts, copies):
+    rng = random.Random(1)
+    forms = [None, [1.0, None], [float("nan"), 1.0], [float("inf"), 0.0]]
+    draw = lambda: rng.choice([0.5, -0.25, 0.125, round(rng.gauss(0, 1), 3)])
+    rows = [(rng.choice([None, *range(300)]), rng.choice(forms) if rng.random() < 0.1 else [draw(), draw()]) for _ in range(400)]
+    rows += [(1000 + i, [0.5, 0.5]) for i in range(copies)]
+    vectors = whole_vectors(texts(rows, SCHEMA), "vec_id", "embedding")
+    kept = [(i, v) for i, v in ((r.vec_id, r.embedding) for r in texts(rows, SCHEMA).select("vec_id", "embedding").collect())]
+    found = top_k(vectors, vectors.filter("vec_id % 20 = 0"), 7).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, found.collect())) == sorted(brute(kept, 7))
+
+
+def test_few_and_none(texts):
+    two = whole_vectors(texts([(20, [1.0]), (1, [2.0])], SCHEMA), "vec_id", "embedding")
+    assert [tuple(r) for r in top_k(two, two.filter("vec_id = 20"), 5).collect()] == [(20, 1, 1, 64 * 128)]
+    none = whole_vectors(texts([], SCHEMA), "vec_id", "embedding")
+    assert top_k(none, none, 5).collect() == []
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    assert sorted(map(tuple, op6_voronoi_knn(spark, folder).collect())) == sorted(brute(rows, 20))

@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+import regex
+
+from stratalake.llm import winnowing
+from stratalake.llm.winnowing import GRAM, TOKEN, WINDOW, fingerprints
+
+
+def edited(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    for at, (doc_id, text) in enumerate(rows):
+        text, following = text or "", rows[(at + 1) % len(rows)][1] or ""
+        cut = len(text) // 4
+        yield doc_id, text, text[: len(text) - cut] + following[:cut]
+
+
+@pytest.mark.parametrize("block", [3, 128])
+def test_fingerprints(texts, monkeypatch, block):
+    monkeypatch.setattr(winnowing, "BLOCK_ROWS", block)
+    rng = random.Random(5)
+    forms = [None, "", " ", "a", "...", "漢字かな交じり文 " * 3, "x" * 200]
+    rows = [
+        (rng.choice([None, *range(-5, 60)]), rng.choice([*forms, *[" ".join(rng.choice(["ab", "cde", "the", "😀"]) for _ in range(rng.randint(1, 80))) for _ in range(9)]]))
+        for _ in range(120)
+    ]
+    found = fingerprints(texts(rows)).collect()
+    expected = [(i, len(t), hashlib.sha256(e.encode()).hexdigest(), t, e) for i, t, e in edited(rows)]
+    assert sorted(map(str, [x[:3] for x in expected])) == sorted(map(str, [tuple(f)[:3] for f in found]))
+    by = {(f.doc_id, f.edited_sha256): f for f in found}
+    seen = {}
+    for doc_id, _, digest, text, changed in expected:
+        row = by[doc_id, digest]
+        for whole, written in ((text, row.fingerprint), (changed, row.edited_fingerprint)):
+            tokens = regex.findall(TOKEN, whole)
+            grams = [tuple(tokens[a : a + GRAM]) for a in range(max(len(tokens) - GRAM + 1, min(len(tokens), 1)))]
+            chosen = {int(x.split(":")[1]): x.split(":")[0] for x in written.split()}
+            for place, value in chosen.items():
+                assert seen.setdefault(grams[place], value) == value
+            for a in range(max(len(grams) - WINDOW + 1, min(len(grams), 1))):
+                assert any(p in chosen for p in range(a, min(a + WINDOW, len(grams))))
+
+
+def test_smallest_hash_of_a_window_rightmost_of_equal(texts):
+    row = fingerprints(texts([(1, "ab " * 40)])).first()
+    # All grams are equal, so every window keeps its last place.
+    places = [int(x.split(":")[1]) for x in row.fingerprint.split()]
+    assert places == list(range(WINDOW - 1, 40 - GRAM + 1))
+
+
+def test_equal_and_empty_texts(texts):
+    rows = fingerprints(texts([(1, "a b c"), (2, "a b c"), (3, None), (4, "")])).collect()
+    by = {r.doc_id: r for r in rows}
+    assert by[1].fingerprint == by[2].fingerprint and by[1].near_next == 1.0
+    assert by[3].fingerprint == "" and by[3].near_next == 1.0 and by[2].near_next == 0.0
+    assert fingerprints(texts([])).collect() == []
