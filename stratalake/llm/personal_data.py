@@ -42,7 +42,7 @@ TIGHT = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}+){1,4}+",
     "ip": r"(?<![0-9])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[0-9]{4}){3}[0-9]{0,3}(?![0-9])|(?<![0-9])[0-9]{4}(?:([\x20-])[0-9]{4})(?:\1[0-9]{4}){2}(?![0-9])",
-    "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9]|\.[0-9])",
 }
 OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 CONTEXT = r"(?i)(?:mail|contact|write|tel|phone|call|fax|mobil|card|visa|credit|account|konto|address|host|server|\bip\b)"
