@@ -6,8 +6,7 @@ digests of ids and text. ``run`` writes each stage as Parquet below the shared f
 it back, so that a lost executor costs one stage at most.
 
 Rows: null text or text without letters goes in the first stage. Of each group of near
-duplicates the row with the smallest id stays; of rows with that id, one with the smallest text.
-Repeated rows are near duplicates of each other. The mix repeats or drops whole documents. Empty
+duplicates the row with the smallest id stays, of equal rows one. The mix repeats or drops whole documents. Empty
 tables stay empty; columns beside the five are kept up to the last stage.
 """
 
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.bpe import encode_digests
-from stratalake.llm.jaccard_join import near_duplicates
+from stratalake.llm.jaccard_join import without_near_duplicates
 from stratalake.llm.language_id import UNDETERMINED, fit, held_out, predict
 from stratalake.llm.mixing import mixed
 from stratalake.llm.personal_data import redact
@@ -38,11 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates, and every document without shingles."""
-    judged = near_duplicates(docs).filter("n_shingles > 0 AND doc_id <> component_id").select(F.col("doc_id").alias("gone"))
-    left = docs.join(judged.distinct(), F.col("doc_id") == F.col("gone"), "left_anti")
-    keyed = left.select(F.struct(*_columns(docs)).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"))
-    same = keyed.groupBy("id", "t").agg(F.first("row").alias("row"), F.count("*").alias("n"))
-    return same.select("row.*")
+    return without_near_duplicates(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

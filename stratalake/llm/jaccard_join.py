@@ -11,14 +11,21 @@ is a lower bound of the difference, and two linked sets have all but D words in
 with more than D non-empty words therefore shares a non-empty word with each of its partners:
 joining on (band, word number, word) finds every linked pair.
 
+More than that: a linked set has all but D of its non-empty words in common, and the first D + 1
+non-empty words of both hold a common one. So a counting sketch of all words comes first. A set
+with fewer words that may be repeated than its size demands is in no pair; the others send their
+first D + 1 words, where these may be repeated.
+
 That bound holds for any subset of the shingles. Shingles that many texts share are left out
 first, as their words would join unlike texts; sets that keep too few others use their whole
 sketch among themselves, and sets too small even for that use their shingles.
 
-Groups of classes with a common word are compared in two rounds: first each with the smallest of
-its group; after components are known, only classes of one group that are still apart. So a
-group of thousands of near copies costs about one comparison each, and no linked pair is left
-untested unless it is in one component already.
+Groups of classes with a common word are compared in two rounds: first each class with that first
+of a group with which it shares most groups; after components are known, classes of one group
+that are still apart. So a group of thousands of near copies costs about one comparison each, and
+no linked pair is left untested unless it is in one component already. Before two sets are moved,
+their parity sketches of single bits are compared: the Hamming distance cannot be above the
+difference of the sets.
 
 Null or empty texts: no shingles, linked with nothing. Rows without an id are no candidates for
 ``component_id`` and get their component's, or null. Repeated ids are judged by their texts.
@@ -27,15 +34,16 @@ Sets, and words of a band, are told apart by 64 bits; comparison is on 64-bit sh
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.bits import collect_set, contains
+from stratalake.llm.bits import collect_set, contains, repeated
 from stratalake.llm.words import Hasher, chunks, mix, split_words
 from stratalake.sources.scratch import stored
 
@@ -45,6 +53,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: A shingle of so many texts, counted where one task sees it more than once, is common.
 COMMON = 64
 RARE, WHOLE, SINGLE = 1, 2, 3
+#: Bytes of text, and shingles, that a task works on at once.
+CHUNK, HELD = 2 << 20, 1_500_000
 
 
 def _bands(most: int) -> np.ndarray:
@@ -66,7 +76,10 @@ class Sets:
         owner = np.repeat(np.arange(len(runs)), runs)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
         grams = hasher.grams(words, texts.first[:-1][owner] + inside, np.minimum(count, shingle)[owner])
-        order = np.lexsort((grams, owner))
+        if len(runs) < 1 << 16:  # one sort of longs: the text, then the high bits of the hash
+            order = np.argsort((owner.astype(np.uint64) << np.uint64(48)) | (grams >> np.uint64(16)))
+        else:
+            order = np.lexsort((grams, owner))
         grams, owner = grams[order], owner[order]
         fresh = np.append(True, (np.diff(owner) != 0) | (np.diff(grams) != 0))[: len(grams)]
         self.tokens, self.owner = grams[fresh], owner[fresh]
@@ -77,6 +90,12 @@ class Sets:
         total = spread[self.first[1:]] - spread[self.first[:-1]]
         self.name = mix(total + self.size.astype(np.uint64)).astype(np.int64)  # of the class
 
+    def parity(self, i: int) -> bytes:
+        """One bit per place, flipped by each token that falls on it; at least 4 places a token."""
+        places = 1 << max(6, int(4 * self.size[i] - 1).bit_length())
+        at = (self.tokens[self.first[i] : self.first[i + 1]] & np.uint64(places - 1)).astype(np.int64)
+        return np.packbits(np.bincount(at, minlength=places) & 1).tobytes()
+
     def only(self, texts: np.ndarray) -> np.ndarray:
         """Places of the tokens of some texts, given as a mask."""
         return np.flatnonzero(texts[self.owner])
@@ -93,17 +112,22 @@ def _fresh(sets: Sets, seen: set) -> np.ndarray:
 
 
 def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, n_shingles, name``; the name of the class is null without shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name", pa.int64())])
+    """``doc_id, text_key, n_shingles, name, parity``.
+
+    The name of the class is null without shingles; ``parity`` is given once a task and class.
+    """
+    schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "name")), ("parity", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(8, fold_case=True)
-        for batch in chunks(batches):
+        hasher, seen = Hasher(8, fold_case=True), set()
+        for batch in chunks(batches, most=CHUNK):
             sets = Sets(batch.column("text"), hasher, shingle)
             name = pa.array(sets.name, mask=sets.size == 0)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sets.size.astype(np.int64)), name], schema=schema)
+            parity = [sets.parity(i) if new else None for i, new in enumerate(_fresh(sets, seen).tolist())]
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.size.astype(np.int64)), name, pa.array(parity, pa.binary())]
+            yield pa.record_batch(columns, schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, name long")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, name long, parity binary")
 
 
 def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -111,28 +135,22 @@ def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, held, n = Hasher(8, fold_case=True), set(), [], 0
-
-        def counted(held: list) -> tuple[np.ndarray, np.ndarray]:
-            token, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            return token, np.bincount(at, np.concatenate([x for _, x in held])).astype(np.int64)
+        hasher, seen, held = Hasher(8, fold_case=True), set(), []
 
-        def send(held: list) -> Iterator[pa.RecordBatch]:
-            token, many = counted(held)
+        def send() -> Iterator[pa.RecordBatch]:
+            token, many = np.unique(np.concatenate(held), return_counts=True)
             token, many = token[many > 1].astype(np.int64), many[many > 1]
             for i in range(0, len(token), 1 << 16):
                 yield pa.record_batch([pa.array(token[i : i + (1 << 16)]), pa.array(many[i : i + (1 << 16)])], schema=schema)
 
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=CHUNK):
             sets = Sets(batch.column("text"), hasher, shingle)
-            tokens = sets.tokens[sets.only(_fresh(sets, seen))]
-            held.append((tokens, np.ones(len(tokens), np.int64)))
-            n += len(tokens)
-            if n > 6_000_000:  # bounds what a task holds; counts of parts add up later
-                yield from send(held)
-                held, n = [], 0
+            held.append(sets.tokens[sets.only(_fresh(sets, seen))])
+            if sum(map(len, held)) > HELD:  # bounds what a task holds; counts of parts add up later
+                yield from send()
+                held.clear()
         if held:
-            yield from send(held)
+            yield from send()
 
     counts = docs.select("text").mapInArrow(run, "token long, n long")
     return collect_set(counts.groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON), "token")
@@ -161,8 +179,11 @@ def sketch_words(sets: Sets, places: np.ndarray, texts: np.ndarray, band: np.nda
     return owner, mix(word ^ mix(label)), np.bincount(owner, minlength=len(texts))
 
 
-def word_keys(sets: Sets, chosen: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All (class name, key) of the chosen texts, in the bands they take part in."""
+def word_keys(sets: Sets, chosen: np.ndarray, common: np.ndarray, repeats: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(class name, key) of the words of the chosen texts, in the bands they take part in.
+
+    With ``repeats``, only those that finding every linked pair needs.
+    """
     texts = np.flatnonzero(chosen)
     if not len(texts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -174,9 +195,15 @@ def word_keys(sets: Sets, chosen: np.ndarray, common: np.ndarray) -> tuple[np.nd
         differ = 2 * (bands[band + 1] - 1) * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR)
         able = (differ > 0) & (sets.size[texts] * DENOMINATOR >= NUMERATOR * bands[band])
         left, band, differ = texts[able], band[able], differ[able]
-        parts = differ + 2 + differ // 8
+        parts = differ + 2 + differ // 2
         for kind, places in ((RARE, rare), (WHOLE, np.arange(len(sets.tokens)))):
             owner, key, words = sketch_words(sets, places, left, band, parts, kind)
+            if repeats is not None:
+                again = contains(repeats, key)
+                enough = np.bincount(owner[again], minlength=len(left)) >= np.maximum(words - differ, 1)
+                number = np.arange(len(owner)) - (np.cumsum(words) - words)[owner]
+                sent = again & enough[owner] & (number <= differ[owner])
+                owner, key = owner[sent], key[sent]
             names.append(sets.name[left[owner]])
             keys.append(key)
             few = words <= differ  # these may share only empty words with a partner that also has few
@@ -186,21 +213,37 @@ def word_keys(sets: Sets, chosen: np.ndarray, common: np.ndarray) -> tuple[np.nd
         single = sets.only(mask)
         rank = np.zeros(len(sets.size), np.int64)
         rank[left] = band
+        key = mix(sets.tokens[single] ^ mix((rank[sets.owner[single]].astype(np.uint64) << np.uint64(40)) | np.uint64(SINGLE << 36)))
+        if repeats is not None:
+            again = contains(repeats, key)
+            single, key = single[again], key[again]
         names.append(sets.name[sets.owner[single]])
-        keys.append(mix(sets.tokens[single] ^ mix((rank[sets.owner[single]].astype(np.uint64) << np.uint64(40)) | np.uint64(SINGLE << 36))))
+        keys.append(key)
     return np.concatenate(names), np.concatenate(keys)
 
 
-def groups(docs: DataFrame, common: np.ndarray, shingle: int, buckets: int) -> DataFrame:
-    """``members``: names (sorted, 8 bytes each) of classes with a sketch word in common."""
-    schema = pa.schema([("bucket", pa.int64()), ("key", pa.binary()), ("name", pa.binary())])
+def repeated_words(docs: DataFrame, common: np.ndarray, shingle: int) -> np.ndarray:
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        hasher, seen = Hasher(8, fold_case=True), set()
+        for batch in chunks(batches, most=CHUNK):
+            sets = Sets(batch.column("text"), hasher, shingle)
+            yield word_keys(sets, _fresh(sets, seen), shared.value)[1]
+
+    return repeated(docs.select("text"), words)
+
+
+def groups(docs: DataFrame, common: np.ndarray, repeats: np.ndarray, shingle: int, buckets: int) -> DataFrame:
+    """``members, n``: names (sorted, 8 bytes each) of classes with n sketch words in common."""
+    schema = pa.schema([("bucket", pa.int64()), ("key", pa.binary()), ("name", pa.binary())])
+    shared, again = (docs.sparkSession.sparkContext.broadcast(x) for x in (common, repeats))
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(8, fold_case=True), set()
-        for batch in chunks(batches):
+        for batch in chunks(batches, most=CHUNK):
             sets = Sets(batch.column("text"), hasher, shingle)
-            name, key = word_keys(sets, _fresh(sets, seen), shared.value)
+            name, key = word_keys(sets, _fresh(sets, seen), shared.value, again.value)
             bucket = (key % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             bucket, name, key = bucket[order], name[order], (key[order] >> np.uint64(32)).astype(np.uint32)
@@ -219,30 +262,47 @@ def groups(docs: DataFrame, common: np.ndarray, shingle: int, buckets: int) -> D
         key, name = key[fresh], name[fresh]
         lead = np.flatnonzero(np.append(True, np.diff(key) != 0))[: len(key)]
         size = np.diff(np.append(lead, len(key)))
-        members = {name[i : i + n].tobytes() for i, n in zip(lead[size > 1].tolist(), size[size > 1].tolist())}
-        return pa.table([pa.array(sorted(members), pa.binary())], names=["members"])
+        members = Counter(name[i : i + n].tobytes() for i, n in zip(lead[size > 1].tolist(), size[size > 1].tolist()))
+        return pa.table([pa.array(list(members), pa.binary()), pa.array(list(members.values()), pa.int64())], names=["members", "n"])
 
     sent = docs.select("text").mapInArrow(send, "bucket long, key binary, name binary")
-    return sent.groupBy("bucket").applyInArrow(gather, "members binary").dropDuplicates(["members"])
+    return sent.groupBy("bucket").applyInArrow(gather, "members binary, n long").groupBy("members").agg(F.sum("n").alias("n"))
 
 
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def first_pairs(found: DataFrame) -> DataFrame:
-    """Each class with the smallest of its group."""
+    """Each class with the first of a group: of several, that with most words in common."""
+    schema = pa.schema([*PAIR, ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch.column("members").to_pylist():
+            for blob, n in zip(batch.column("members").to_pylist(), batch.column("n").to_pylist()):
                 name = np.frombuffer(blob, np.int64)
-                yield pa.record_batch([pa.array(np.full(len(name) - 1, name[0])), pa.array(name[1:])], schema=PAIR)
+                yield pa.record_batch([pa.array(np.full(len(name) - 1, name[0])), pa.array(name[1:]), pa.array(np.full(len(name) - 1, n))], schema=schema)
+
+    shared = found.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    best = shared.groupBy("b").agg(F.max(F.struct("n", "a")).alias("most"))
+    return best.select("most.a", "b")
+
 
-    return found.mapInArrow(run, "a long, b long").distinct()
+def fits(m: np.ndarray, n: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Whether sets of m and n shingles that differ in ``apart`` places at least can be linked."""
+    sizes = np.minimum(m, n) * DENOMINATOR >= NUMERATOR * np.maximum(m, n)
+    return sizes & (apart * (DENOMINATOR + NUMERATOR) <= (m + n) * (DENOMINATOR - NUMERATOR))
 
 
-def later_pairs(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one group that are in different components, but for those tested already."""
+def folded(parity: bytes, size: int) -> np.ndarray:
+    """A parity sketch with fewer places."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, size), axis=0)
+
+
+def later_pairs(found: DataFrame, labels: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs of one group that are in different components and may be linked by their sketches.
+
+    Sketches are compared inside the group, so that unlike texts with a common word make no row.
+    """
     at = found.select(F.xxhash64("members").alias("g"), F.md5("members").alias("h"), "members")
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,40 +312,63 @@ def later_pairs(found: DataFrame, labels: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array([g] * len(name), pa.int64()), pa.array([h] * len(name)), pa.array(name)], names=["g", "h", "node"])
 
     each = at.mapInArrow(names, "g long, h string, node long").join(labels, "node", "left")
-    each = each.select("g", "h", "node", F.coalesce("label", "node").alias("label"))
+    each = stored(each.select("g", "h", "node", F.coalesce("label", "node").alias("label")), "members")
     apart = each.groupBy("g", "h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = each.join(apart.select("g", "h"), ["g", "h"], "left_semi")
+    open_ = each.join(apart.select("g", "h"), ["g", "h"], "left_semi").join(classes.withColumnRenamed("name", "node"), "node")
 
     def cross(table: pa.Table) -> pa.Table:
-        node, label = (table[c].to_numpy() for c in ("node", "label"))
-        order = np.argsort(node)
-        node, label = node[order], label[order]
-        a, b = [], []
-        for i in range(1, len(node) - 1):  # the smallest was compared with all
+        node, label, size = (table[c].to_numpy() for c in ("node", "label", "size"))
+        parity = table["parity"].to_pylist()
+        least = min(map(len, parity))
+        bits = np.array([folded(p, least) for p in parity])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in range(len(node)):
             other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-            a.append(np.full(len(other), node[i]))
-            b.append(node[other])
-        return pa.table([np.concatenate([*x, np.zeros(0, np.int64)]) for x in (a, b)], schema=PAIR)
+            differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            other = other[fits(size[i], size[other], differ)]
+            a.append(np.minimum(node[i], node[other]))
+            b.append(np.maximum(node[i], node[other]))
+        return pa.table([np.concatenate(x) for x in (a, b)], schema=PAIR)
+
+    pairs = open_.groupBy("g", "h").applyInArrow(cross, "a long, b long").distinct()
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
-    return open_.groupBy("g", "h").applyInArrow(cross, "a long, b long").distinct()
 
+def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose sizes and parity sketches do not rule a link out."""
 
-def linked(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = (batch.column(c).to_numpy() for c in ("m", "n"))
+            apart = []
+            for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
+                least = min(len(one), len(two))
+                apart.append(int(np.bitwise_count(folded(one, least) ^ folded(two, least)).sum(dtype=np.int64)))
+            keep = fits(m, n, np.array(apart, np.int64))
+            yield pa.record_batch([pc.filter(batch.column(c), pa.array(keep, pa.bool_())) for c in ("a", "b")], schema=PAIR)
+
+    of = lambda name, n, parity: classes.select(F.col("name").alias(name), F.col("size").alias(n), F.col("parity").alias(parity))
+    joined = pairs.join(of("a", "m", "one"), "a").join(of("b", "n", "two"), "b")
+    return joined.select("a", "b", "m", "n", "one", "two").mapInArrow(compare, "a long, b long")
+
+
+def linked(docs: DataFrame, rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The pairs whose sets are similar enough, by comparing the sets."""
-    wanted = collect_set(pairs.select(F.explode(F.array("a", "b")).alias("name")), "name")
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    texts = rows.filter("parity IS NOT NULL").join(names, "name", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(collect_set(texts, "text_key"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(8, fold_case=True), set()
-        for batch in chunks(batches):
-            sets = Sets(batch.column("text"), hasher, shingle)
-            take = np.flatnonzero(_fresh(sets, seen) & contains(shared.value, sets.name))
-            blobs = [sets.tokens[sets.first[i] : sets.first[i + 1]].tobytes() for i in take]
-            yield pa.record_batch([pa.array(sets.name[take]), pa.array(blobs, pa.binary())], names=["name", "tokens"])
-
-    sets = docs.select("text").mapInArrow(sets_of, "name long, tokens binary").groupBy("name").agg(F.first("tokens").alias("tokens"))
-    sets = stored(sets, "sets")
-
+        for batch in batches:
+            wanted = contains(shared.value, batch.column("text_key").to_numpy())
+            for part in chunks([batch.filter(pa.array(wanted))], most=CHUNK):
+                sets = Sets(part.column("text"), hasher, shingle)
+                take = np.flatnonzero(_fresh(sets, seen))
+                blobs = [sets.tokens[sets.first[i] : sets.first[i + 1]].tobytes() for i in take]
+                yield pa.record_batch([pa.array(sets.name[take]), pa.array(blobs, pa.binary())], names=["name", "tokens"])
+
+    sets = docs.select("text", "text_key").mapInArrow(sets_of, "name long, tokens binary").groupBy("name").agg(F.first("tokens").alias("tokens"))
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -323,26 +406,55 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: the smallest id reachable by links."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+def judged(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, text_key, n_shingles, group, component_id`` of each row.
+
+    ``group`` names the component, null without shingles; ``text_key`` is a hash of the text.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     spark = docs.sparkSession
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = stored(class_rows(docs, shingle), "classes")
-    found = stored(groups(docs, common_shingles(docs, shingle), shingle, buckets), "groups")
-    links = stored(linked(docs, stored(first_pairs(found), "pairs"), shingle), "links")
+    common = common_shingles(docs, shingle)
+    found = stored(groups(docs, common, repeated_words(docs, common, shingle), shingle, buckets), "groups")
+    classes = rows.filter("parity IS NOT NULL").groupBy("name").agg(F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
+    classes = stored(classes, "sketches")
+    first = stored(first_pairs(found), "pairs")
+    links = stored(linked(docs, rows, stored(alike(first, classes), "alike"), shingle), "links")
     labels = components(links)
-    more = stored(later_pairs(found, labels), "pairs")
+    more = stored(later_pairs(found, labels, classes, first), "later")
     if not more.isEmpty():
-        again = linked(docs, more, shingle)
-        labels = components(links.unionByName(again))
+        labels = components(links.unionByName(linked(docs, rows, more, shingle)))
     names = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
-    names = names.join(labels, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("label", "name").alias("label"))
+    names = names.join(labels, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("label", "name").alias("group"))
     names = stored(names, "names")
-    ids = names.groupBy("label").agg(F.min("least").alias("component_id"))
-    owner = stored(names.join(ids, "label").select("name", "component_id"), "components")
-    judged = rows.join(owner, "name", "left")
-    return judged.select("doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    ids = names.groupBy("group").agg(F.min("least").alias("component_id"))
+    owner = stored(names.join(ids, "group").select("name", "group", "component_id"), "components")
+    own = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.join(owner, "name", "left").select("doc_id", "text_key", "n_shingles", "group", own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: the smallest id reachable by links."""
+    return judged(docs, shingle).select("doc_id", "n_shingles", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The rows that stay: one of each component, and every row without shingles.
+
+    It is the row with the smallest id, then the smallest hash of its text; rows without an id
+    come last, and of equal rows one stays.
+    """
+    rows = stored(judged(docs, shingle), "judged")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    first = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min(order).alias("at")).select("at.doc_id", "at.text_key")
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("__id")
+    kept = first.select(key, F.col("text_key").alias("__text"), F.lit(True).alias("__one"))
+    bare = rows.filter("group IS NULL").select(key, F.col("text_key").alias("__text"), F.lit(False).alias("__one")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("__text"))
+    whole = whole.select("__row", key, "__text").join(kept.unionByName(bare), ["__id", "__text"])
+    number = F.row_number().over(Window.partitionBy("__id", "__text").orderBy(F.lit(1)))
+    return whole.withColumn("__n", number).filter("__n = 1 OR NOT __one").select("__row.*")
 
 
 def op8_jaccard_join(spark, sf_dir):
