@@ -1,13 +1,13 @@
 """Exact top-k search by a Voronoi join.
 
 Pivots (a bounded, seeded draw of vectors) part the space; each vector belongs to the cell of its
-nearest pivot. A cell's summary holds its pivot, its radius and the distances of its ``k`` members
-nearest to the pivot. For a query q and a member x of a cell with pivot p,
+nearest pivot. A cell's summary holds its pivot, its radius and the ids and distances of its
+``k + 1`` members nearest to the pivot, of members with one id the nearest. For a query q and a member x of a cell with pivot p,
 
     q.p - |q| |x - p|  <=  q.x  <=  q.p + |q| |x - p|
 
-so summaries alone give a score that ``k`` members reach, and for each cell a score that none of
-its members exceeds. A query needs the cells that may hold a score of at least the first. Queries
+so summaries alone give a score that ``k`` members with other ids than the query's reach, however
+many rows have its id, and for each cell a score that none of its members exceeds. A query needs the cells that may hold a score of at least the first. Queries
 of one cell travel in blocks; a block is replicated to the blocks of the cells that one of its
 queries needs, is solved there, and each block keeps its best ``k`` per query before these meet.
 
@@ -64,7 +64,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def blocks(vectors: DataFrame, centres: np.ndarray, size: int) -> DataFrame:
-    """``cell, block, far, ids, vectors``: vectors by cell, in blocks of about ``size``."""
+    """``cell, block, far, ids, vectors``: vectors by cell, in blocks of about ``size``, nearest to the pivot first."""
     width = centres.shape[1]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +73,9 @@ def blocks(vectors: DataFrame, centres: np.ndarray, size: int) -> DataFrame:
 
         def block(cell: int) -> pa.RecordBatch:
             ids, far, v = (np.concatenate(x) for x in zip(*held.pop(cell)))
-            row = [cell, (task << 32) + next(made), np.sort(far).tobytes(), ids.tobytes(), v.astype(np.int32).tobytes()]
+            order = np.argsort(far, kind="stable")
+            ids, far, v = ids[order], far[order], v[order].astype(np.int32)
+            row = [cell, (task << 32) + next(made), far.tobytes(), ids.tobytes(), v.tobytes()]
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, BLOCK.types)], schema=BLOCK)
 
         for batch in batches:
@@ -99,37 +101,48 @@ BLOCK = pa.schema([("cell", pa.int64()), ("block", pa.int64()), ("far", pa.binar
 BLOCK_DDL = "cell long, block long, far binary, ids binary, vectors binary"
 
 
-def summaries(data: DataFrame, centres: np.ndarray, k: int) -> list[tuple[int, np.ndarray, float]]:
-    """Per cell: distances of its k + 1 members nearest to the pivot, and its radius."""
-    schema = pa.schema([("cell", pa.int64()), ("near", pa.binary()), ("radius", pa.float64())])
+def nearest(ids: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and distances of the ``most`` nearest different ids."""
+    order = np.argsort(far, kind="stable")
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:most]
+    return ids[order][first], far[order][first]
+
+
+def summaries(data: DataFrame, centres: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray, float]]:
+    """Per cell: ids and distances of its k + 1 different ids nearest to the pivot, and its radius."""
+    schema = pa.schema([("cell", pa.int64()), ("ids", pa.binary()), ("near", pa.binary()), ("radius", pa.float64())])
+
+    def merge(held: dict, cell: int, ids: bytes, far: bytes, radius: float | None = None) -> None:
+        ids, far = np.frombuffer(ids, np.int64), np.frombuffer(far)
+        known, near, most = held.get(cell, (np.zeros(0, np.int64), np.zeros(0), 0.0))
+        met = nearest(np.append(known, ids), np.append(near, far), k + 1)
+        held[cell] = (*met, max(most, far[-1] if radius is None else radius))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, float]] = {}
+        held: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
         for batch in batches:
-            for cell, blob in zip(batch.column("cell").to_pylist(), batch.column("far").to_pylist()):
-                far = np.frombuffer(blob)
-                near, radius = held.get(cell, (np.zeros(0), 0.0))
-                held[cell] = (np.sort(np.append(near, far[: k + 1]))[: k + 1], max(radius, far[-1]))
-        for cell, (near, radius) in held.items():
-            yield pa.record_batch([[cell], [near.tobytes()], [float(radius)]], schema=schema)
-
-    parts = data.select("cell", "far").mapInArrow(cut, "cell long, near binary, radius double")
-    merged: dict[int, tuple[np.ndarray, float]] = {}
+            for row in zip(*(batch.column(c).to_pylist() for c in ("cell", "ids", "far"))):
+                merge(held, *row)
+        for cell, (ids, near, radius) in held.items():
+            yield pa.record_batch([[cell], [ids.tobytes()], [near.tobytes()], [float(radius)]], schema=schema)
+
+    parts = data.select("cell", "far", "ids").mapInArrow(cut, "cell long, ids binary, near binary, radius double")
+    merged: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
     for x in parts.toLocalIterator():  # of each task PIVOTS rows at most
-        near, radius = merged.get(x["cell"], (np.zeros(0), 0.0))
-        merged[x["cell"]] = (np.sort(np.append(near, np.frombuffer(x["near"])))[: k + 1], max(radius, x["radius"]))
+        merge(merged, x["cell"], x["ids"], x["near"], x["radius"])
     return [(cell, *merged[cell]) for cell in sorted(merged)]
 
 
-def needed(queries: np.ndarray, centres: np.ndarray, cells: list[tuple[int, np.ndarray, float]], k: int) -> list[int]:
+def needed(q_ids: np.ndarray, queries: np.ndarray, centres: np.ndarray, cells: list[tuple[int, np.ndarray, np.ndarray, float]], k: int) -> list[int]:
     """Cells that may hold one of the k best scores of some query."""
     length = np.sqrt((queries**2).sum(1))[:, None]
-    at = np.array([c for c, _, _ in cells])
+    at = np.array([c for c, *_ in cells])
     middle = queries @ centres[at].T
-    sure = [middle[:, [i]] - length * near[None, :] for i, (_, near, _) in enumerate(cells)]
+    sure = [middle[:, [i]] - length * near[None, :] for i, (_, _, near, _) in enumerate(cells)]
     sure = np.concatenate(sure, 1)  # scores that so many members reach at least
-    # one of these members may be the query itself, so one more is asked for
-    least = -np.partition(-sure, k, 1)[:, [k]] if sure.shape[1] > k else np.full((len(queries), 1), -np.inf)
+    # a cell may name the query's own id, which is no candidate
+    sure[q_ids[:, None] == np.concatenate([ids for _, ids, *_ in cells])[None, :]] = -np.inf
+    least = -np.partition(-sure, k - 1, 1)[:, [k - 1]] if sure.shape[1] >= k else np.full((len(queries), 1), -np.inf)
     most = middle + length * np.array([r for *_, r in cells])[None, :]
     slack = 1e-6 * (1 + np.abs(most))
     return at[(most + slack >= least).any(0)].tolist()
@@ -153,7 +166,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, q in zip(batch.column("q_ids").to_pylist(), batch.column("q").to_pylist()):
-                to = needed(np.frombuffer(q, np.int32).reshape(-1, width).astype(float), centres, cells, k)
+                asking = np.frombuffer(q, np.int32).reshape(-1, width).astype(float)
+                to = needed(np.frombuffer(ids, np.int64), asking, centres, cells, k)
                 yield pa.record_batch([pa.array([ids] * len(to), pa.binary()), pa.array([q] * len(to), pa.binary()), pa.array(to, pa.int64())], names=["q_ids", "q", "cell"])
 
     sent = asked.mapInArrow(route, "q_ids binary, q binary, cell long")

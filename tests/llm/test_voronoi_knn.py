@@ -41,6 +41,14 @@ def test_few_and_none(texts):
     assert top_k(none, none, 5).collect() == []
 
 
+@pytest.mark.parametrize("copies", [3, 40])
+def test_many_rows_of_the_query_id(texts, copies):
+    rows = [(20, [1.0])] * copies + [(1, [0.5]), (2, [0.25])]
+    vectors = whole_vectors(texts(rows, SCHEMA), "vec_id", "embedding")
+    found = top_k(vectors, vectors.filter("vec_id = 20"), 2).collect()
+    assert sorted(map(tuple, found)) == [(20, 1, 1, 64 * 32), (20, 2, 2, 64 * 16)] == sorted(brute(rows, 2))
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
