@@ -10,9 +10,11 @@ digits: two card numbers in a row, or a telephone number before an address of a
 3. candidates of all documents are counted by their features, which is one row for each
    combination that occurs, at most ``CELLS``; candidates equal to a base span are positive, those
    of no kind's form are negative, and what the base patterns dropped or never saw is left open;
-4. boosted trees are fitted on these counts, and for each kind the lowest score whose candidates
+4. decoys are planted among them: each positive card or address of a computer once more with digits
+   beside it that no other candidate takes, as negative, since part of a longer number is neither;
+5. boosted trees are fitted on these counts, and for each kind the lowest score whose candidates
    are right in ``PRECISION`` of all labelled cases is its threshold;
-5. open candidates at or above it are added, best score first, where no span is yet.
+6. open candidates at or above it are added, best score first, where no span is yet.
 
 Base spans always stay. Offsets are code points, ends exclusive. Null text is empty and has no
 spans; repeated rows are judged alike. Without any positive candidate of a kind, none is added.
@@ -46,12 +48,17 @@ TIGHT = {
 }
 OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
 CONTEXT = r"(?i)(?:mail|contact|write|tel|phone|call|fax|mobil|card|visa|credit|account|konto|address|host|server|\bip\b)"
-FEATURES = ("kind", "valid", "digits", "before", "after", "parts", "plus", "named", "few")
-CELLS = 4 * 2 * 24 * 4 * 4 * 4 * 2 * 2 * 2
+#: What goes on before or after a candidate that is part of a longer number, by kind.
+LOOSE = {
+    "ip": (r"[0-9]\.$", r"^\.[0-9]"),
+    "card": (r"(?:^|[^.0-9])[0-9]+[\x20-]?$", r"^[\x20-]?[0-9]++(?!\.[0-9])"),
+}
+FEATURES = ("kind", "valid", "digits", "before", "after", "parts", "plus", "named", "few", "loose")
+CELLS = 4 * 2 * 24 * 4 * 4 * 4 * 2 * 2 * 2 * 2
 PRECISION = 0.95
 ROUNDS, DEPTH, RATE = 20, 2, 0.4
-#: Code points of context read before a candidate.
-LEFT = 24
+#: Code points of context read before and after a candidate.
+LEFT, RIGHT = 24, 24
 
 
 def running_sums(values: Column) -> Column:
@@ -84,7 +91,7 @@ def with_matches(df: DataFrame, text: str, pattern: str, name: str) -> DataFrame
             stop.alias("stop"),
             m.alias("text"),
             F.right(F.get(F.col(gaps), i), F.lit(LEFT)).alias("left"),
-            F.left(F.get(F.col(gaps), i + 1), F.lit(1)).alias("right"),
+            F.left(F.get(F.col(gaps), i + 1), F.lit(RIGHT)).alias("right"),
         )
 
     return df.withColumn(name, F.transform(F.col(found), span)).drop(found, gaps, ends)
@@ -127,7 +134,7 @@ def _features(kind: str, x: Column) -> dict[str, Column]:
         "valid": passes(kind, text).cast("int"),
         "digits": F.least(F.length(digits), F.lit(23)),
         "before": _side(F.right(x["left"], F.lit(1))),
-        "after": _side(x["right"]),
+        "after": _side(F.left(x["right"], F.lit(1))),
         "parts": F.when(text.rlike(r"[()]"), 3).when(text.rlike(r"\."), 2).when(text.rlike(r"[\x20-]"), 1).otherwise(0),
         "plus": F.startswith(text, F.lit("+")).cast("int"),
         "named": x["left"].rlike(CONTEXT).cast("int"),
@@ -136,6 +143,28 @@ def _features(kind: str, x: Column) -> dict[str, Column]:
     return {name: F.coalesce(value, F.lit(0)).cast("int") for name, value in values.items()}
 
 
+def _sides(kind: str, x: Column) -> Column:
+    """On which sides a longer number goes on: 1 before, 2 after, 3 both."""
+    if kind not in LOOSE:
+        return F.lit(0)
+    before, after = LOOSE[kind]
+    return F.coalesce(x["left"].rlike(before).cast("int") + 2 * x["right"].rlike(after).cast("int"), F.lit(0))
+
+
+def _loose(candidates: str) -> Column:
+    """The candidates with ``loose`` 1 where a side is not taken by a candidate of another kind."""
+
+    def one(x: Column) -> Column:
+        other = lambda c: (c["kind"] != x["kind"]) & (c["valid"] == 1)
+        before = F.exists(candidates, lambda c: other(c) & (c["start"] < x["start"]) & (c["stop"] >= x["start"] - 1))
+        after = F.exists(candidates, lambda c: other(c) & (c["stop"] > x["stop"]) & (c["start"] <= x["stop"] + 1))
+        free = (x["loose"].bitwiseAND(F.lit(1)).cast("boolean") & ~before) | (x["loose"].bitwiseAND(F.lit(2)).cast("boolean") & ~after)
+        return F.when(x["loose"] == 0, x).otherwise(x.withField("loose", free.cast("int")))
+
+    some = F.exists(candidates, lambda c: c["loose"] > 0)
+    return F.when(some, F.transform(candidates, one)).otherwise(F.col(candidates))
+
+
 def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with ``base`` (``kind, start, stop``) and ``candidates`` (those, features, label).
 
@@ -159,9 +188,9 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         rows = rows.withColumn(f"__kept_{kind}", F.filter(F.col(f"__base_{kind}"), checked(kind)))
     rows = rows.withColumn("base", F.concat(*[F.transform(F.col(f"__kept_{kind}"), where(kind)) for kind in KINDS]))
 
-    def described(kind: str, labelled):
+    def described(kind: str, labelled, sides=lambda x: F.lit(0)):
         def one(x: Column) -> Column:
-            features = _features(kind, x)
+            features = _features(kind, x) | {"loose": sides(x)}
             named = [value.alias(name) for name, value in features.items() if name != "kind"]
             label = labelled(features).cast("int").alias("label")
             return F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"], x["stop"], *named, label)
@@ -185,10 +214,11 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
 
         good = F.transform(F.col(f"__kept_{kind}"), described(kind, lambda features: F.lit(1)))
         tight = F.when(F.size(f"__new_{kind}") > 0, F.filter(F.col(f"__tight_{kind}"), is_new))
-        rest = F.transform(tight, described(kind, lambda features: F.when(features["valid"] == 0, 0)))
+        rest = F.transform(tight, described(kind, lambda features: F.when(features["valid"] == 0, 0), lambda x: _sides(kind, x)))
         return F.concat(good, F.coalesce(rest, F.slice(good, 1, 0)))
 
     rows = rows.withColumn("candidates", F.concat(*[proposed(kind) for kind in KINDS]))
+    rows = rows.withColumn("candidates", _loose("candidates"))
     return rows.drop("__text", *[f"__{x}" for x in names], *[f"__{x}_{kind}" for x in ("kept", "new") for kind in KINDS])
 
 
@@ -224,10 +254,17 @@ def profile(candidates: DataFrame) -> list[tuple]:
     return [(tuple(r[f] for f in FEATURES), r["n"], r["y"]) for r in cells.toLocalIterator()]
 
 
+def decoys(cells: list[tuple]) -> list[tuple]:
+    """The positive cells of the kinds in ``LOOSE`` as negatives in a longer number."""
+    kinds = [KINDS.index(kind) for kind in LOOSE]
+    return [((*c[:-1], 1), y, 0) for c, _, y in cells if c[0] in kinds and y and not c[-1]]
+
+
 def fit(cells: list[tuple]) -> Trees:
-    """Newton boosting of shallow trees on counted cells."""
+    """Newton boosting of shallow trees on counted cells and decoys."""
     if not cells:
         return Trees(0.0, [], [math.inf] * len(KINDS))
+    cells = cells + decoys(cells)
     x = np.array([c[0] for c in cells])
     n, y = (np.array([c[i] for c in cells], float) for i in (1, 2))
     base = (y.sum() + 1) / (n.sum() + 2)

@@ -61,6 +61,18 @@ def test_data_beside_other_digits_is_added(texts):
     assert spans[902] == ""
 
 
+def test_parts_of_longer_numbers_are_refused(texts):
+    card, phone = "4111 1111 1111 1111", "+1 (555) 123-4567"
+    rows = [(i, f"pay {card} now, call {phone} or a.b@c.de at 10.0.0.1; not 4111111111111112") for i in range(200)]
+    rows += [(900, f"no {card} 5678 9013 of parts"), (901, "version 1000.2.3.4.5"), (902, f"{card} {card}"), (903, f"10.0.0.1 {card}"), (904, f"{phone} {card}")]
+    spans = {r.doc_id: r.spans for r in find(texts(rows)).select("doc_id", written(F.col("spans")).alias("spans")).collect()}
+    assert passes("card", card) and passes("ip", "2.3.4.5")
+    assert spans[900] == spans[901] == ""
+    assert spans[902] == "card:0:19,card:20:39"
+    assert spans[903] == "ip:0:8,card:9:28"
+    assert spans[904] != ""
+
+
 def test_redaction(texts):
     rows = [(1, "call +1 (555) 123-4567 or a.b@c.de now", 5), (2, None, None), (3, "clean", 5)]
     found = {r.doc_id: (r.text, r.n_chars) for r in redact(texts(rows, "doc_id long, text string, n_chars long")).collect()}
