@@ -1,10 +1,14 @@
 r"""Document fingerprints by winnowing, as DataFrame operations only.
 
-A text is cut into tokens: pieces of up to ``PIECE`` letters or digits, counted from the start of
-each run, and every other visible character by itself. Each run of ``GRAM`` tokens has a hash.
-In every window of ``WINDOW`` neighbouring hashes the smallest is chosen, the rightmost of equal
-ones, and its place is kept. Two texts that share GRAM + WINDOW - 1 tokens in a row (some 40
-letters) therefore share a chosen hash, and the places say where.
+A text is cut into tokens. A word, which is a run of at most ``LONGEST`` letters or digits of
+scripts that set blanks, is cut into pieces of four from its start. Every other visible character
+is a token by itself, also in longer runs and in scripts without blanks (``UNSPACED``), so that
+no token there depends on where its run began. Each run of ``GRAM`` tokens has a hash. In every
+window of ``WINDOW`` neighbouring hashes the smallest is chosen, the rightmost of equal ones, and
+its place is kept. Two texts that share GRAM + WINDOW - 1 tokens in a row therefore share a chosen
+hash, and the places say where. A shared passage has these tokens in common but for those of words
+that it begins or ends within: some 40 letters of words, 12 characters of a script without
+blanks, and LONGEST + 1 characters inside an unbroken run.
 
 A chosen hash and its place are packed into one long, hash first and the place counted down, so
 that the smaller of two longs is also the rightmost of equal hashes. Places are modulo 2**23; of
@@ -20,7 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOKEN = r"[\p{L}\p{M}\p{N}]{1,4}|[^\s\p{L}\p{M}\p{N}]"
+#: Thai, Lao, Myanmar, Khmer, Tai, Balinese, Javanese, CJK, kana: scripts without blanks.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u312f\u3190-\u9fff\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+#: A letter, mark or digit of another script: what is no blank, sign or control.
+LETTER = r"[^\s\p{P}\p{S}\p{Z}\p{C}" + UNSPACED + "]"
+LONGEST = 16
+#: Pieces of words, the first and those after 4, 8 and 12 letters; otherwise a character.
+TOKEN = "|".join(
+    [rf"(?<!{LETTER})(?={LETTER}{{1,{LONGEST}}}+(?!{LETTER})){LETTER}{{1,4}}"]
+    + [rf"(?<=(?<!{LETTER}){LETTER}{{{n}}})(?={LETTER}{{1,{LONGEST - n}}}+(?!{LETTER})){LETTER}{{1,4}}" for n in range(4, LONGEST, 4)]
+    + [r"\S"]
+)
 GRAM, WINDOW = 5, 8
 PLACE_BITS = 23
 PLACES = (1 << PLACE_BITS) - 1

@@ -51,6 +51,27 @@ def test_smallest_hash_of_a_window_rightmost_of_equal(texts):
     assert places == list(range(WINDOW - 1, 40 - GRAM + 1))
 
 
+def test_a_passage_moved_inside_an_unbroken_run_shares_a_hash(texts):
+    rng = random.Random(3)
+    draw = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    han, hexed = "".join(map(chr, range(0x4E00, 0x4F00))), "0123456789abcdef"
+    rows = []
+    for signs, shared in ((han, GRAM + WINDOW - 1), (han, 60), (hexed, 17), (hexed, 60)):
+        passage = draw(signs, shared)
+        rows += [f"{draw(signs, n)}{passage}{draw(signs, 5)}" for n in range(4)]
+    found = {r.doc_id: {x.split(":")[0] for x in r.fingerprint.split()} for r in fingerprints(texts(list(enumerate(rows)))).collect()}
+    for i in range(len(rows)):
+        assert found[i] & found[i - i % 4]
+
+
+def test_words_are_cut_from_their_start():
+    cut = lambda text: regex.findall(TOKEN, text)
+    assert cut("the mountains, 7") == ["the", "moun", "tain", "s", ",", "7"]
+    assert cut("abcdefghijklmnop x") == ["abcd", "efgh", "ijkl", "mnop", "x"]
+    assert cut("abcdefghijklmnopq") == list("abcdefghijklmnopq")
+    assert cut("漢字kana-ab") == ["漢", "字", "kana", "-", "ab"]
+
+
 def test_equal_and_empty_texts(texts):
     rows = fingerprints(texts([(1, "a b c"), (2, "a b c"), (3, None), (4, "")])).collect()
     by = {r.doc_id: r for r in rows}
