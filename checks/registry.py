@@ -548,3 +548,6 @@ SELECT (SELECT count(*) FROM lineitem)
 )
 def lineitem_duplicate_keys(spark, sf_dir):
     return duplicate_rows(load(spark, sf_dir, "lineitem"), LINE_KEY)
+
+
+from checks import drift, faults  # noqa: E402, F401  (their queries register themselves above)

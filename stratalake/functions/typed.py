@@ -12,6 +12,11 @@ from stratalake.spec import DatasetSpec
 
 # Types that a text with a decimal point still has to reach.
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+# A number as text: sign, digits before and after the point, exponent; blanks and controls around it.
+_NUMBER = r"^([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+_AROUND = r"^[\x00-\x20\x7f]+|[\x00-\x20\x7f]+$"
+# More digits than a whole number can have, and an exponent that moves the point beyond any text kept.
+_DIGITS, _FAR = 19, 100_000_000
 
 
 def field_types(df: DataFrame) -> dict[str, T.DataType]:
@@ -19,10 +24,29 @@ def field_types(df: DataFrame) -> dict[str, T.DataType]:
     return {field.name.lower(): field.dataType for field in df.schema.fields}
 
 
+def _whole_part(column: Column) -> Column:
+    """The whole part of a number written as text, digit by digit; NULL if it is no number.
+
+    The point is moved by the exponent inside the text, so no digit passes through a double. A
+    number with more digits than any whole-number type is NULL.
+    """
+    text = F.trim(F.regexp_replace(column, _AROUND, ""))
+    part = {name: F.regexp_extract(text, _NUMBER, at) for at, name in enumerate(("sign", "whole", "fraction", "exponent"), 1)}
+    digits = F.concat(part["whole"], part["fraction"])
+    beyond = F.when(F.startswith(part["exponent"], F.lit("-")), -_FAR).otherwise(_FAR)
+    exponent = F.coalesce(part["exponent"].try_cast("int"), beyond)
+    exponent = F.when(part["exponent"] == "", 0).otherwise(F.greatest(F.least(exponent, F.lit(_FAR)), F.lit(-_FAR)))
+    point = F.length(part["whole"]) + exponent
+    value = F.regexp_replace(digits, "^0+", "")
+    size = point - (F.length(digits) - F.length(value))  # digits before the point, without leading zeros
+    before = F.when((size <= 0) | (value == ""), "0").when(size <= _DIGITS, F.rpad(F.left(value, size), size, "0"))
+    return F.when(text.rlike(_NUMBER), F.concat(part["sign"], before))
+
+
 def coerce(column: Column, actual: T.DataType, target: str) -> Column:
     """``column`` as ``target``; a value that does not fit becomes NULL.
 
-    Text becomes a whole number as its number would: exactly where it is whole, else cut.
+    Text becomes a whole number by its own digits: exactly where it is whole, else cut.
 
     A column that already has the type is returned untouched, which keeps
     comparisons on it eligible for the Parquet scan.
@@ -35,7 +59,7 @@ def coerce(column: Column, actual: T.DataType, target: str) -> Column:
     if isinstance(actual, T.StringType) and target in WHOLE_NUMBERS:
         # A delivery of doubles that met one of text arrives as "1.0", and one of booleans as "true".
         written = F.when(F.lower(F.trim(column)).isin("true", "false"), column.try_cast("boolean"))
-        return F.coalesce(cast, column.try_cast("double").try_cast(target), written.try_cast(target))
+        return F.coalesce(cast, _whole_part(column).try_cast(target), written.try_cast(target))
     return cast
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.typed import coerce, field_types
+from stratalake.functions.nested import fitted
+from stratalake.functions.typed import field_types
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
@@ -31,8 +32,24 @@ def _common_decimal(kinds: Sequence[T.DataType]) -> T.DataType:
     return T.DecimalType(digits, scale) if digits <= _MAX_DIGITS else T.StringType()
 
 
-def common_type(kinds: Sequence[T.DataType]) -> T.DataType | None:
-    """Type that holds all of ``kinds``, or None to leave nested fields to the union.
+def _common_fields(kinds: Sequence[T.StructType]) -> T.StructType:
+    """All fields by name, without regard to case, in first spelling and order."""
+    seen: dict[str, tuple[str, list[T.DataType]]] = {}
+    for kind in kinds:
+        for field in kind:
+            seen.setdefault(field.name.lower(), (field.name, []))[1].append(field.dataType)
+    return T.StructType([T.StructField(name, common_type(types)) for name, types in seen.values()])
+
+
+def _common_key(kinds: Sequence[T.DataType]) -> T.DataType:
+    """Type of map keys: as other values, but text where a wider type could merge two keys."""
+    kind = common_type(kinds)
+    differ = len({each.simpleString() for each in kinds}) > 1
+    return T.StringType() if differ and isinstance(kind, _FLOATING) else kind
+
+
+def common_type(kinds: Sequence[T.DataType]) -> T.DataType:
+    """Type that holds all of ``kinds``, inside structs, arrays and maps as well.
 
     Chosen here because the type a plain union picks depends on ANSI mode:
     an INT meeting a STRING becomes BIGINT there and fails on the first word.
@@ -49,11 +66,16 @@ def common_type(kinds: Sequence[T.DataType]) -> T.DataType | None:
     if all(isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) for kind in kinds):
         return T.TimestampNTZType()
     if all(isinstance(kind, T.StructType) for kind in kinds):
-        return None
+        return _common_fields(kinds)
+    if all(isinstance(kind, T.ArrayType) for kind in kinds):
+        return T.ArrayType(common_type([kind.elementType for kind in kinds]))
+    if all(isinstance(kind, T.MapType) for kind in kinds):
+        keys, values = ([getattr(kind, part) for kind in kinds] for part in ("keyType", "valueType"))
+        return T.MapType(_common_key(keys), common_type(values))
     return T.StringType()
 
 
-def common_types(frames: Sequence[DataFrame]) -> dict[str, T.DataType | None]:
+def common_types(frames: Sequence[DataFrame]) -> dict[str, T.DataType]:
     seen: dict[str, list[T.DataType]] = {}
     for frame in frames:
         for name, kind in field_types(frame).items():
@@ -62,7 +84,7 @@ def common_types(frames: Sequence[DataFrame]) -> dict[str, T.DataType | None]:
 
 
 def unify(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by name: absent columns are NULL, differing types are widened.
+    """UNION ALL by name: absent columns and fields are NULL, differing types are widened.
 
     Names match without regard to case and keep their first spelling.
     """
@@ -71,10 +93,7 @@ def unify(frames: Sequence[DataFrame]) -> DataFrame:
     def aligned(frame: DataFrame) -> DataFrame:
         columns = []
         for field in frame.schema.fields:
-            kind = target[field.name.lower()]
-            column = F.col(f"`{field.name}`")
-            if kind is not None:
-                column = coerce(column, field.dataType, kind.simpleString())
+            column = fitted(F.col(f"`{field.name}`"), field.dataType, target[field.name.lower()])
             columns.append(column.alias(field.name))
         return frame.select(columns)
 

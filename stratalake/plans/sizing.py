@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.sql.shuffle.partitions"
 # Silver moves about a quarter of the bronze columns, so two GiB of bronze files
@@ -14,6 +15,21 @@ SETTING = "spark.sql.shuffle.partitions"
 BYTES_PER_REDUCER = 2 << 30
 
 
+# How Spark writes sizes in a plan.
+_UNITS = ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB")
+_SIZE = re.compile(rf"sizeInBytes=([0-9.E+]+) ({'|'.join(_UNITS)})")
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Size of a table's files as its plan has it, to three digits; starts no job.
+
+    Read from the plan's text, which every kind of session gives. 0 where it has none.
+    """
+    (plan,) = table.sparkSession.sql("EXPLAIN COST SELECT * FROM {t}", t=table).first()
+    hit = _SIZE.search(plan)
+    return round(float(hit[1]) * 1024 ** _UNITS.index(hit[2])) if hit else 0
+
+
 def reducers_for(size: int, current: int, per_reducer: int = BYTES_PER_REDUCER) -> int:
     return max(current, -(-size // per_reducer))
 

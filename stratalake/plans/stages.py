@@ -20,15 +20,9 @@ from stratalake.operators.gates import (
 )
 from stratalake.operators.marts import fact, hour_mart, month_mart
 from stratalake.operators.reports import RULES, diagnostic_counts, percent, rows_by_file
-from stratalake.plans.sizing import BYTES_PER_REDUCER, shuffle_sized_for
-from stratalake.sources.lake import (
-    Lake,
-    publish_layer,
-    read_layer,
-    replace_layer,
-    size_in_bytes,
-    stage_layer,
-)
+from stratalake.plans.journal import finished, note
+from stratalake.plans.sizing import BYTES_PER_REDUCER, shuffle_sized_for, table_bytes
+from stratalake.sources.lake import Lake, publish_layer, read_layer, replace_layer, stage_layer
 from stratalake.sources.landing import read_landing
 from stratalake.spec import DatasetSpec
 
@@ -98,7 +92,7 @@ def run_silver(
     """
     source = bronze.table if bronze else read_layer(spark, lake, "bronze")
     counts = bronze.counts if bronze else audit_bronze(source, lake)
-    with shuffle_sized_for(spark, size_in_bytes(spark, lake.path("bronze"))):
+    with shuffle_sized_for(spark, table_bytes(source)):
         staged = stage_layer(silver(source, lake.spec), lake, "silver")
         rows = gate_silver(staged, lake.spec)["rows"]
     table = publish_layer(spark, lake, "silver")
@@ -116,22 +110,26 @@ def discards(spark: SparkSession, counts: Row, kept: int) -> DataFrame:
     return report.withColumn("kept_pct", percent(F.col("kept"), F.col("total")))
 
 
-def gather_months(table: DataFrame, spec: DatasetSpec, size: int = 0) -> DataFrame:
+def gather_months(
+    table: DataFrame, spec: DatasetSpec, size: int = 0, part_bytes: int = BYTES_PER_REDUCER
+) -> DataFrame:
     """Brings the rows of a month together, a large month in several partitions.
 
     Adaptive execution splits months by size. Without it a salt from the key
-    splits every month alike, into as many parts as a table of ``size`` bytes
-    needs where all of it is one month.
+    splits every month alike, into as many parts of ``part_bytes`` as a table of
+    ``size`` bytes needs where all of it is one month.
     """
     adaptive = table.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true"
     if adaptive:
         return table.hint("rebalance", spec.month_column)
-    parts = max(1, -(-size // BYTES_PER_REDUCER))
+    parts = max(1, -(-size // part_bytes))
     salt = F.pmod(F.xxhash64(*spec.key), F.lit(parts))
     return table.repartition(F.col(spec.month_column), salt)
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
+def run_gold(
+    spark: SparkSession, lake: Lake, part_bytes: int = BYTES_PER_REDUCER
+) -> GoldResult:
     """Fact table split by month, and the two marts.
 
     Silver is spread by key, so every task holds every month and would write a
@@ -140,9 +138,10 @@ def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
     it, so the number of partitions need not grow.
     """
     spec = lake.spec
-    size = size_in_bytes(spark, lake.path("silver"))
+    silver_table = read_layer(spark, lake, "silver")
+    size = table_bytes(silver_table)
     with shuffle_sized_for(spark, size):
-        gathered = gather_months(fact(read_layer(spark, lake, "silver"), spec), spec, size)
+        gathered = gather_months(fact(silver_table, spec), spec, size, part_bytes)
         stored = replace_layer(gathered, lake, "fact", (spec.month_column,))
     marts = {"month_mart": month_mart(stored, spec), "hour_mart": hour_mart(stored, spec)}
     # A mart has one row per month or hour of the day, so one file holds it.
@@ -150,7 +149,29 @@ def run_gold(spark: SparkSession, lake: Lake) -> GoldResult:
     return GoldResult(stored, saved["month_mart"], saved["hour_mart"])
 
 
-def run_all(spark: SparkSession, lake: Lake, periods: Sequence[str] | None = None) -> GoldResult:
-    """Landing to gold. Bronze is read twice: once audited, once written to silver."""
-    run_silver(spark, lake, run_bronze(spark, lake, periods))
-    return run_gold(spark, lake)
+def run_all(
+    spark: SparkSession,
+    lake: Lake,
+    periods: Sequence[str] | None = None,
+    run: str | None = None,
+) -> GoldResult:
+    """Landing to gold. Bronze is read twice: once audited, once written to silver.
+
+    A run that has a name can be taken up again under that name after it died: stages
+    that the journal has as finished are left out, as long as their tables are still the
+    ones they read and wrote. Silver then audits bronze once more, as when it runs alone.
+    """
+    periods = tuple(periods or lake.spec.periods)
+    done = finished(spark, lake, run, periods)
+    bronze = None
+    if "bronze" not in done:
+        bronze = run_bronze(spark, lake, periods)
+        note(spark, lake, run, "bronze", periods)
+    if "silver" not in done:
+        run_silver(spark, lake, bronze)
+        note(spark, lake, run, "silver", periods)
+    if "gold" in done:
+        return GoldResult(*[read_layer(spark, lake, name) for name in ("fact", "month_mart", "hour_mart")])
+    gold = run_gold(spark, lake)
+    note(spark, lake, run, "gold", periods)
+    return gold

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.marts import fact_columns
@@ -20,6 +21,10 @@ FACT_VIEW = "fact_trips"
 # URI schemes whose stores rename a folder without copying it.
 RENAMING_SCHEMES = ("", "file", "hdfs", "viewfs", "abfss")
 
+# What a pointer object says, and how many versions keep their files.
+POINTER = "version bigint"
+KEPT_VERSIONS = 2
+
 # Error conditions that mean "no table here", for files and for Delta.
 _ABSENT = {
     "PATH_NOT_FOUND",
@@ -37,10 +42,15 @@ class Lake:
 
     ``root`` may be any URI Spark can reach. ``publish`` says how an audited
     table replaces the old one when the format has no transactions: ``rename``
-    moves folders, ``rewrite`` copies with Spark, for object stores where a
-    rename copies file by file. The default goes by the scheme of ``root``, or
-    where it has none by that of the file system Spark resolves it to.
+    moves folders; ``pointer`` writes each version into a folder of its own and
+    then adds one small object that names it, for object stores, where a rename
+    copies file by file, and for sessions without a JVM at hand (Spark Connect).
+    The default goes by the scheme of ``root``, or where it has none by that of
+    the file system Spark resolves it to. A layer that has a pointer keeps it.
     With ``delta`` the write itself is atomic.
+
+    Readers find the old table or the new one at any moment, also where a run
+    died. Two runs may not publish one layer at the same time.
     """
 
     root: str
@@ -49,8 +59,8 @@ class Lake:
     publish: str | None = None
 
     def __post_init__(self) -> None:
-        if self.publish not in (None, "rename", "rewrite"):
-            raise ValueError(f"publish must be rename or rewrite: {self.publish}")
+        if self.publish not in (None, "rename", "pointer"):
+            raise ValueError(f"publish must be rename or pointer: {self.publish}")
 
     @property
     def renames(self) -> bool:
@@ -86,6 +96,17 @@ class Lake:
     def retired(self, layer: str) -> str:
         return self._at("_retired", layer, self.path(layer).rsplit("/", 1)[-1])
 
+    def pointer(self, layer: str) -> str:
+        """Folder of the objects that name the layer's versions; the highest number counts."""
+        return f"{self.path(layer)}/_pointer"
+
+    def version(self, layer: str, number: int) -> str:
+        return f"{self.path(layer)}/_versions/{number:08}"
+
+    @property
+    def journal(self) -> str:
+        return self._at("_journal")
+
 
 def _declared_schema(spec: DatasetSpec, layer: str) -> T.StructType | None:
     """Schema of the layers whose columns the spec fixes; saves reading footers.
@@ -110,21 +131,67 @@ def _load(spark: SparkSession, lake: Lake, layer: str, path: str) -> DataFrame:
     return table.select(*fact_columns(lake.spec)) if layer == "fact" else table
 
 
-def read_layer(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
-    return _load(spark, lake, layer, lake.path(layer))
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() in _ABSENT
 
 
-def layer_exists(spark: SparkSession, lake: Lake, layer: str) -> bool:
+def appended_rows(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """Rows of a folder of small JSON objects, or None if there is no such folder."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if _absent(error):
+            return None
+        raise
+
+
+def append_row(spark: SparkSession, path: str, schema: str, row: tuple) -> None:
+    """Adds one object. It appears whole or not at all, and changes no other."""
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
+
+
+def current_version(spark: SparkSession, lake: Lake, layer: str) -> int:
+    """Number of the version the layer's pointer names; 0 without a pointer."""
+    if lake.fmt == "delta":
+        return 0
+    named = appended_rows(spark, lake.pointer(layer), POINTER)
+    return (named.agg(F.max("version")).first()[0] or 0) if named else 0
+
+
+def _present(spark: SparkSession, lake: Lake, path: str) -> bool:
     """Asks the reader itself, so it holds for every file system and format."""
     try:
-        spark.read.format(lake.fmt).load(lake.path(layer))
+        spark.read.format(lake.fmt).load(path)
     except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
+        if _absent(error):
             return False
         raise
     return True
 
 
+def locate(spark: SparkSession, lake: Lake, layer: str) -> str:
+    """The folder that holds the layer's table now.
+
+    Without a pointer it is the layer's own path, or between the two moves of a
+    rename the place where the old table waits.
+    """
+    version = current_version(spark, lake, layer)
+    if version:
+        return lake.version(layer, version)
+    path = lake.path(layer)
+    if lake.fmt != "delta" and not _present(spark, lake, path) and _present(spark, lake, lake.retired(layer)):
+        return lake.retired(layer)
+    return path
+
+
+def read_layer(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
+    return _load(spark, lake, layer, locate(spark, lake, layer))
+
+
+def layer_exists(spark: SparkSession, lake: Lake, layer: str) -> bool:
+    return _present(spark, lake, locate(spark, lake, layer))
+
+
 def _write(df: DataFrame, fmt: str, path: str, partition_by: Sequence[str]) -> None:
     # A session may be set to replace only the months that are written; here a write is whole.
     writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
@@ -139,32 +206,75 @@ def stage_layer(
     df: DataFrame, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Writes next to the layer, not over it, and returns what was written."""
-    if can_rename(df.sparkSession, lake):
-        _restore(df.sparkSession, lake, layer)
-    _write(df, lake.fmt, lake.staging(layer), partition_by)
-    return _load(df.sparkSession, lake, layer, lake.staging(layer))
+    spark = df.sparkSession
+    place = staged_at(spark, lake, layer)
+    if publish_mode(spark, lake, layer) == "rename":
+        _restore(spark, lake, layer)
+    _write(df, lake.fmt, place, partition_by)
+    return _load(spark, lake, layer, place)
+
+
+def staged_at(spark: SparkSession, lake: Lake, layer: str) -> str:
+    """Where the layer's next table is written before it is published."""
+    if publish_mode(spark, lake, layer) == "pointer":
+        return lake.version(layer, current_version(spark, lake, layer) + 1)
+    return lake.staging(layer)
 
 
 def publish_layer(
     spark: SparkSession, lake: Lake, layer: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """Replaces the layer by its staged version and returns the table read back."""
-    if can_rename(spark, lake):
+    mode = publish_mode(spark, lake, layer)
+    if mode == "rename":
         _swap(spark, lake, layer)
+    elif mode == "pointer":
+        _point(spark, lake, layer)
     else:
-        staged = _load(spark, lake, layer, lake.staging(layer))
-        _write(staged, lake.fmt, lake.path(layer), partition_by)
-        staging = _hadoop_path(spark, lake.staging(layer))
-        _file_system(spark, staging).delete(staging, True)
+        _write(_load(spark, lake, layer, lake.staging(layer)), lake.fmt, lake.path(layer), partition_by)
+        _empty(spark, lake, lake.staging(layer))
     spark.catalog.refreshByPath(lake.path(layer))
     return read_layer(spark, lake, layer)
 
 
-def can_rename(spark: SparkSession, lake: Lake) -> bool:
-    """Whether moving a folder of the lake is a metadata operation."""
-    if lake.fmt == "delta" or lake.publish or urlsplit(lake.root).scheme:
-        return lake.renames
-    return _file_system(spark, _hadoop_path(spark, lake.root)).getScheme() in RENAMING_SCHEMES
+def publish_mode(spark: SparkSession, lake: Lake, layer: str) -> str:
+    """``rename``, ``pointer``, or ``write`` where the format has transactions."""
+    if lake.fmt == "delta":
+        return "write"
+    if current_version(spark, lake, layer):
+        return "pointer"
+    if lake.publish:
+        return lake.publish
+    if not _has_jvm(spark):
+        return "pointer"
+    if urlsplit(lake.root).scheme:
+        return "rename" if lake.renames else "pointer"
+    scheme = _file_system(spark, _hadoop_path(spark, lake.root)).getScheme()
+    return "rename" if scheme in RENAMING_SCHEMES else "pointer"
+
+
+def _point(spark: SparkSession, lake: Lake, layer: str) -> None:
+    """Names the staged version as the current one, in one object, then frees the last but one.
+
+    The version before stays for readers that have already planned. Spark has no call to
+    delete a folder, so an old version is overwritten by an empty table.
+    """
+    version = current_version(spark, lake, layer) + 1
+    append_row(spark, lake.pointer(layer), POINTER, (version,))
+    if version > KEPT_VERSIONS:
+        _empty(spark, lake, lake.version(layer, version - KEPT_VERSIONS))
+
+
+def _empty(spark: SparkSession, lake: Lake, path: str) -> None:
+    _write(spark.range(0), lake.fmt, path, ())
+
+
+def _has_jvm(spark: SparkSession) -> bool:
+    """Whether Python can reach the session's JVM; with Spark Connect it cannot."""
+    try:
+        return spark._jvm is not None and spark._jsc is not None
+    except (PySparkException, AttributeError):
+        return False
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -208,15 +318,12 @@ def replace_layer(
 ) -> DataFrame:
     """Full overwrite of a layer that needs no audit before it is published.
 
-    Where folders can be renamed, readers see the old table until the new one is
-    complete. Elsewhere the table is written in place, as a staged copy would
-    have to be written twice.
+    Readers see the old table until the new one is complete, and it is written once.
     """
-    if can_rename(df.sparkSession, lake):
+    if lake.fmt != "delta":
         stage_layer(df, lake, layer, partition_by)
         return publish_layer(df.sparkSession, lake, layer, partition_by)
     _write(df, lake.fmt, lake.path(layer), partition_by)
-    df.sparkSession.catalog.refreshByPath(lake.path(layer))
     return read_layer(df.sparkSession, lake, layer)
 
 
@@ -244,9 +351,3 @@ def save_fact_table(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
         .saveAsTable(name)
     )
     return spark.table(name)
-
-
-def size_in_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below ``path``."""
-    place = _hadoop_path(spark, path)
-    return _file_system(spark, place).getContentSummary(place).getLength()

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.unify import unify
+from stratalake.sources.footers import census
 from stratalake.spec import LOADED_AT, SOURCE_FILE
 
 SchemaGroup = tuple[T.StructType, list[str]]
@@ -33,7 +32,7 @@ def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> T.StructType |
     """
     try:
         return _reader(spark).option("mergeSchema", "true").parquet(*paths).schema
-    except (Py4JJavaError, PySparkException) as error:  # may come without a condition
+    except Exception as error:  # its class and condition depend on the kind of session
         if "CANNOT_MERGE_SCHEMAS" in str(error):
             return None
         raise
@@ -52,8 +51,8 @@ def _files_below(spark: SparkSession, path: str) -> list[str]:
 def _runs(spark: SparkSession, paths: list[str]) -> list[SchemaGroup]:
     """Cuts ``paths`` into stretches of mergeable schemas by halving.
 
-    Types usually change once and stay, so this takes a few footer jobs per
-    change instead of one per file.
+    For stores that only Spark reads. Types usually change once and stay, so this
+    takes a few footer jobs per change instead of one per file.
     """
     schema = _merged_schema(spark, paths)
     if schema is not None:
@@ -67,28 +66,49 @@ def _runs(spark: SparkSession, paths: list[str]) -> list[SchemaGroup]:
     return _runs(spark, paths[:middle]) + _runs(spark, paths[middle:])
 
 
-def _agree(left: T.StructType, right: T.StructType) -> bool:
-    known = {field.name.lower(): field.dataType.simpleString() for field in left}
-    return all(
-        known.get(field.name.lower(), field.dataType.simpleString())
-        == field.dataType.simpleString()
-        for field in right
-    )
+def _joined(left: T.DataType, right: T.DataType) -> T.DataType | None:
+    """A type in which one scan reads both, or None: fields may be absent, but not differ."""
+    if isinstance(left, T.StructType) and isinstance(right, T.StructType):
+        return _joined_fields(left, right)
+    if isinstance(left, T.ArrayType) and isinstance(right, T.ArrayType):
+        element = _joined(left.elementType, right.elementType)
+        return element and T.ArrayType(element)
+    if isinstance(left, T.MapType) and isinstance(right, T.MapType):
+        key, value = _joined(left.keyType, right.keyType), _joined(left.valueType, right.valueType)
+        return key and value and T.MapType(key, value)
+    return left if left.simpleString() == right.simpleString() else None
+
+
+def _joined_fields(left: T.StructType, right: T.StructType) -> T.StructType | None:
+    fields = {field.name.lower(): field for field in left}
+    for field in right:
+        known = fields.get(field.name.lower())
+        kind = _joined(known.dataType, field.dataType) if known else field.dataType
+        if kind is None:
+            return None
+        fields[field.name.lower()] = T.StructField(known.name if known else field.name, kind)
+    return T.StructType(list(fields.values()))
 
 
-def _joined(left: T.StructType, right: T.StructType) -> T.StructType:
-    names = {field.name.lower() for field in left}
-    extra = [field for field in right if field.name.lower() not in names]
-    return T.StructType([*left.fields, *extra])
+def _schemas(spark: SparkSession, paths: Sequence[str]) -> list[SchemaGroup]:
+    """Files that have one schema, and that schema."""
+    whole = _merged_schema(spark, paths)
+    if whole is not None:
+        return [(whole, list(paths))]
+    found = census(spark, paths)
+    if found is None:
+        return _runs(spark, list(paths))
+    return [(_reader(spark).parquet(example).schema, files) for example, files in found]
 
 
 def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[SchemaGroup]:
-    """Files that one scan can read together: no column has two types in a group."""
+    """Files that one scan can read together: no column or field has two types in a group."""
     groups: list[SchemaGroup] = []
-    for schema, members in _runs(spark, list(paths)):
+    for schema, members in _schemas(spark, paths):
         for at, (known, earlier) in enumerate(groups):
-            if _agree(known, schema):
-                groups[at] = (_joined(known, schema), earlier + members)
+            both = _joined(known, schema)
+            if both is not None:
+                groups[at] = (both, earlier + members)
                 break
         else:
             groups.append((schema, members))

@@ -1,8 +1,8 @@
+"""Session of all tests."""
+
 from __future__ import annotations
 
 import sys
-from dataclasses import replace
-from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -10,16 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from stratalake.spec import TRIPS  # noqa: E402
-
-BRONZE_SCHEMA = (
-    "VendorID bigint, passenger_count double, total_amount double, "
-    "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
-    "source_file string, ingestion_timestamp timestamp"
-)
-LOADED = datetime(2024, 1, 1, 12)
-# Files written by tests are single Parquet files or folders, as each test says.
-FOLDERS = replace(TRIPS, lineage_level="folder")
+from helpers import BRONZE_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -43,29 +34,9 @@ def spark(tmp_path_factory) -> SparkSession:
     session.stop()
 
 
-def at(text: str | None) -> datetime | None:
-    return datetime.fromisoformat(text) if text else None
-
-
-def trip(
-    vendor=1,
-    riders=1.0,
-    amount=10.0,
-    pickup="2023-03-01 10:00:00",
-    dropoff="2023-03-01 10:10:00",
-    source="a.parquet",
-    loaded=LOADED,
-):
-    return (vendor, riders, amount, at(pickup), at(dropoff), source, loaded)
-
-
 @pytest.fixture
 def bronze_of(spark):
     def build(*rows) -> DataFrame:
         return spark.createDataFrame(list(rows), BRONZE_SCHEMA)
 
     return build
-
-
-def plan_of(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

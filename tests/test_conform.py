@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import LOADED, plan_of, trip
+from helpers import LOADED, plan_of, trip
 from stratalake.functions.typed import coerce
 from stratalake.operators import reports
 from stratalake.operators.conform import clean, conform, keep_first, silver

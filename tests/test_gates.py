@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, trip
+from helpers import plan_of, trip
 from stratalake.operators import gates
 from stratalake.operators.conform import conform
 from stratalake.operators.gates import DataQualityError, gate_bronze, gate_silver

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import types as T
 
-from conftest import plan_of
+from helpers import plan_of
 from stratalake.operators.unify import common_type, unify
 from stratalake.sources.landing import read_landing, schema_groups
 

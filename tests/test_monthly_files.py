@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from conftest import plan_of
+from helpers import plan_of
 from stratalake import Lake, TRIPS, hour_answer, month_answer, register_fact, run_all, run_bronze, run_silver
 from stratalake.operators.reports import rows_by_file
 from stratalake.sources.lake import read_layer

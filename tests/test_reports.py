@@ -3,7 +3,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from conftest import trip
+from helpers import trip
 from stratalake.operators import reports
 from stratalake.operators.conform import silver
 from stratalake.plans.stages import discards
