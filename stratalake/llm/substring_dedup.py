@@ -11,7 +11,8 @@ Three passes:
    one content: the merged count is never below the number of places of a window.
 2. Windows whose anchor is estimated to occur once are unique and stop here. The others are
    combined inside a block of texts (one row per different window) and grouped by anchor, so a
-   run of neighbouring windows travels together; equal windows are found by 128 bits of hash.
+   run of neighbouring windows travels together; equal windows are found by a 128-bit BLAKE2
+   digest of their words.
 3. The covered word ranges go back to their texts, which are cut.
 
 The sketch has a fixed size. On larger inputs it lets more unique windows through to pass 2; it
@@ -24,6 +25,7 @@ their windows count as repeated. Texts shorter than a window are kept whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ WINDOW = 35
 GRAM = 8
 #: Counters per row of the sketch, rows, and counters per slice that is merged on its own.
 WIDTH, ROWS, SLICE = 1 << 26, 2, 1 << 16
+#: Bytes of text worked on at once, and anchors a task gathers before it sends them on.
+CHUNK, HELD = 2 << 20, 1_500_000
 
 SKETCH = "row int, slice int, once binary, more binary"
 CANDIDATES = "bucket long, k1 long, k2 long, a int, b int, runs binary, hash1 binary, hash2 binary, many1 binary, many2 binary"
@@ -78,20 +82,27 @@ def sketch(docs: DataFrame, window: int) -> list[np.ndarray]:
     schema = _schema(SKETCH)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(3)
-        counts = [np.zeros(WIDTH, np.uint8) for _ in range(ROWS)]
-        for batch in chunks(batches):
-            found = Windows(split_words(batch.column("text")), hasher, window)
-            fresh = np.append(True, np.diff(found.anchor) > 0)[: len(found.anchor)]
-            for row, slot in enumerate(slots(found.content[fresh])):
+        hasher, held = Hasher(3), []
+
+        def send() -> Iterator[pa.RecordBatch]:
+            for row, slot in enumerate(slots(np.concatenate(held))):
                 slot, n = np.unique(slot, return_counts=True)
-                counts[row][slot] = np.minimum(counts[row][slot] + n, 2)
-        for row in range(ROWS):
-            for at in range(0, WIDTH, SLICE):
-                part = counts[row][at : at + SLICE]
-                if part.any():
-                    once, more = (np.flatnonzero(part == n).astype(np.uint16).tobytes() for n in (1, 2))
-                    yield pa.record_batch([[row], [at // SLICE], [once], [more]], schema=schema)
+                at, inside = slot // SLICE, (slot % SLICE).astype(np.uint16)
+                parts = np.unique(at)
+                lead = np.append(np.searchsorted(at, parts), len(at))
+                cuts = [(inside[i:j], n[i:j] > 1) for i, j in zip(lead, lead[1:])]
+                once, more = [x[~m].tobytes() for x, m in cuts], [x[m].tobytes() for x, m in cuts]
+                columns = [np.full(len(parts), row, np.int32), parts.astype(np.int32)]
+                yield pa.record_batch([*map(pa.array, columns), pa.array(once, pa.binary()), pa.array(more, pa.binary())], schema=schema)
+            held.clear()
+
+        for batch in chunks(batches, most=CHUNK):
+            found = Windows(split_words(batch.column("text")), hasher, window)
+            held.append(found.content[np.append(True, np.diff(found.anchor) > 0)[: len(found.anchor)]])
+            if sum(map(len, held)) > HELD:  # bounds what a task holds; parts add up later
+                yield from send()
+        if held:
+            yield from send()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merged: dict[tuple[int, int], np.ndarray] = {}
@@ -113,23 +124,35 @@ def sketch(docs: DataFrame, window: int) -> list[np.ndarray]:
     return rows
 
 
+def digests(texts: Texts, start: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two longs of BLAKE2 of the words of each window, whatever stands between them in the text."""
+    size = texts.end - texts.start
+    first = np.append(0, np.cumsum(size + 1))
+    joined = np.full(first[-1], 0x20, np.uint8)
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    joined[inside + np.repeat(first[:-1], size)] = texts.data[inside + np.repeat(texts.start, size)]
+    whole = memoryview(joined)
+    made = b"".join(blake2b(whole[i:j], digest_size=16).digest() for i, j in zip(first[start].tolist(), (first[start + window] - 1).tolist()))
+    both = np.frombuffer(made, np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def candidates(keyed: DataFrame, bits: list[np.ndarray], window: int, buckets: int) -> DataFrame:
     """The windows that may be repeated, by anchor; ranges known to be repeated as they are."""
     schema, shared = _schema(CANDIDATES), keyed.sparkSession.sparkContext.broadcast(bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, rows = Hasher(3), Hasher(5), shared.value
-        for batch in chunks(batches):
+        hasher, rows = Hasher(3), shared.value
+        for batch in chunks(batches, most=CHUNK):
             texts = split_words(batch.column("text"))
-            found = Windows(texts, one, window)
+            found = Windows(texts, hasher, window)
             maybe = np.ones(len(found.start), bool)
             for row, slot in enumerate(slots(found.content)):
                 maybe &= (rows[row][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
             start, content = found.start[maybe], found.content[maybe]
             if not len(start):
                 continue
-            hash1 = one.grams(found.words, start, window)
-            hash2 = two.grams(two.words(texts.data, texts.start, texts.end), start, window)
+            hash1, hash2 = digests(texts, start, window)
             text = np.repeat(np.arange(len(batch)), found.per_text)[maybe]
             at = (start - texts.first[text]).astype(np.int32)
             k1, k2 = (batch.column(k).to_numpy()[text] for k in ("k1", "k2"))

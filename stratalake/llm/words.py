@@ -6,6 +6,7 @@ of a longer character is one of these, so words may be cut on bytes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,41 +28,59 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Longer words, in bytes, are hashed one by one by BLAKE2.
+LONG = 512
+#: By number: a mask of so many low bytes.
+LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+EIGHT = np.array([0x9E3779B97F4A7C15], dtype=np.uint64)
+
+
 class Hasher:
-    """64-bit hashes of words and of word n-grams, the same in every process for one seed."""
+    """64-bit hashes of words and of word n-grams, the same in every process for one seed.
+
+    A word is folded eight bytes at a time through ``mix``, with its length: no sum or product of
+    letters, which words of a regular shape could cancel. Words of up to eight bytes and one
+    length never share a hash. An n-gram is folded from halves in the same way.
+    """
 
     def __init__(self, seed: int, fold_case: bool = False) -> None:
-        base = mix(np.arange(1, 260, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-        self.table = base[:256].copy()
+        self.key = seed.to_bytes(8, "little")
+        self.start = mix(np.array([seed], dtype=np.uint64) + EIGHT)
+        self.fold = np.arange(256, dtype=np.uint8)
         if fold_case:
-            self.table[ord("A") : ord("Z") + 1] = self.table[ord("a") : ord("z") + 1]
-        self.letter, self.word = (int(x) | 1 for x in base[256:258])
-        self._powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def _of(self, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """base**i and base**-i modulo 2**64, for i up to n."""
-        have = self._powers.get(base)
-        if have is None or len(have[0]) <= n:
-            have = []
-            for factor in (base, pow(base, -1, 1 << 64)):
-                powers = np.full(max(n + 1, 1 << 16), factor, dtype=np.uint64)
-                powers[0] = 1
-                have.append(np.multiply.accumulate(powers))
-            self._powers[base] = have = tuple(have)
-        return have
-
-    def _ranges(self, values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        up, down = self._of(base, len(values))
-        sums = np.zeros(len(values) + 1, dtype=np.uint64)
-        np.cumsum(values * up[: len(values)], out=sums[1:])
-        return (sums[end] - sums[start]) * down[start]
+            self.fold[ord("A") : ord("Z") + 1] += 32
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix(self._ranges(self.table[data], self.letter, start, end) + (end - start).astype(np.uint64))
+        size = end - start
+        data = np.append(self.fold[data], np.zeros(8, np.uint8))
+        eight = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))  # the eight bytes at each place
+        out = mix(size.astype(np.uint64) + self.start)
+        left, at = np.flatnonzero(size <= LONG), 0
+        while len(left):
+            rest = size[left] - at
+            block = eight[start[left] + at] & LOW[np.minimum(rest, 8)]
+            out[left] = mix((out[left] ^ block) * EIGHT)
+            left, at = left[rest > 8], at + 8
+        for i in np.flatnonzero(size > LONG).tolist():
+            digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=self.key).digest()
+            out[i] = int.from_bytes(digest, "little")
+        return out
 
     def grams(self, words: np.ndarray, start: np.ndarray, n) -> np.ndarray:
         """Hash of the ``n`` words that start at each position; ``n`` may be an array."""
-        return mix(self._ranges(words, self.word, start, start + n))
+        if isinstance(n, np.ndarray):
+            out = np.zeros(len(start), np.uint64)
+            for many in np.unique(n).tolist():
+                out[n == many] = self.grams(words, start[n == many], many)
+            return out
+        if not len(start):
+            return np.zeros(0, np.uint64)
+        hashes, reach = words, 1
+        while 2 * reach <= n:
+            hashes = mix(hashes[: len(hashes) - reach] * EIGHT ^ hashes[reach:])
+            reach *= 2
+        # two stretches that overlap cover the rest
+        return mix((hashes[start] + self.start) * EIGHT ^ hashes[start + n - reach])
 
 
 @dataclass

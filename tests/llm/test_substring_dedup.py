@@ -39,3 +39,19 @@ def test_query_on_the_smallest_tables(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, op3_substring_dedup(spark, folder).collect())) == sorted(brute(rows, 35))
+
+
+def test_windows_that_differ_in_one_word_of_like_shape_stay(texts):
+    one, two = "a", "b"
+    while len(one) < 1024:
+        one, two = one + two, two + one
+    same = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{same} {one}"), (2, f"{same} {two}"), (3, "x " * 200_000)]
+    got = {r.doc_id: r.n_removed for r in remove_repeats(texts(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 200_000}
+
+
+def test_blanks_between_words_make_no_difference(texts):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, "\n\t ".join(words))]
+    assert {r.n_removed for r in remove_repeats(texts(rows)).collect()} == {40}

@@ -54,3 +54,32 @@ def test_chunks_cut_by_bytes_and_keep_long_texts_whole():
     parts = [p.column(0).to_pylist() for p in chunks([batch], most=4)]
     assert parts == [["aa", None], ["b" * 50], ["c", ""]]
     assert np.concatenate([p for p in parts]).tolist() == batch.column(0).to_pylist()
+
+
+def doubled(length):
+    """Words of one length that any polynomial modulo a power of two confuses: ab, abba, abbabaab, ..."""
+    one, two = "a", "b"
+    while len(one) < length:
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_words_of_one_shape_are_told_apart():
+    words = [w for length in (2, 8, 64, 512, 1024, 4096) for w in doubled(length)]
+    for seed in (1, 3, 5, 8):
+        hasher = Hasher(seed)
+        found = split_words(pa.array([" ".join(words)]))
+        hashes = hasher.words(found.data, found.start, found.end)
+        assert len(set(hashes.tolist())) == len(words)
+        short = split_words(pa.array([" ".join(x) for x in doubled(64)]))  # and so are such sequences of words
+        flat = hasher.words(short.data, short.start, short.end)
+        assert len(set(hasher.grams(flat, np.array([0, 64]), 64).tolist())) == 2
+
+
+def test_grams_of_several_sizes_at_once():
+    hasher, found = Hasher(2), split_words(pa.array(["a b c d e f g"]))
+    words = hasher.words(found.data, found.start, found.end)
+    sizes = np.array([1, 2, 3, 5, 5])
+    got = hasher.grams(words, np.arange(5)[[0, 0, 1, 1, 2]], sizes).tolist()
+    assert got == [hasher.grams(words, np.array([i]), n)[0] for i, n in zip([0, 0, 1, 1, 2], sizes.tolist())]
+    assert len(set(got)) == 5
