@@ -26,15 +26,14 @@ from pyspark.sql import functions as F
 
 #: Thai, Lao, Myanmar, Khmer, Tai, Balinese, Javanese, CJK, kana: scripts without blanks.
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u312f\u3190-\u9fff\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
-#: A letter, mark or digit of another script: what is no blank, sign or control.
-LETTER = r"[^\s\p{P}\p{S}\p{Z}\p{C}" + UNSPACED + "]"
+#: A letter, mark or digit of another script: what is no blank, sign or control. Plain ones are looked up first.
+LETTER = r"[a-zA-Z0-9[[\p{L}\p{M}\p{N}]&&[^" + UNSPACED + "]]]"
 LONGEST = 16
-#: Pieces of words, the first and those after 4, 8 and 12 letters; otherwise a character.
-TOKEN = "|".join(
-    [rf"(?<!{LETTER})(?={LETTER}{{1,{LONGEST}}}+(?!{LETTER})){LETTER}{{1,4}}"]
-    + [rf"(?<=(?<!{LETTER}){LETTER}{{{n}}})(?={LETTER}{{1,{LONGEST - n}}}+(?!{LETTER})){LETTER}{{1,4}}" for n in range(4, LONGEST, 4)]
-    + [r"\S"]
-)
+#: A run that is longer, and each of its letters: the first, and those that follow one found.
+LONG = rf"{LETTER}{{{LONGEST + 1}}}"
+EACH = rf"(?:\G(?!^)|(?<!{LETTER})(?={LONG}))({LETTER})"
+#: Pieces of words; otherwise a character.
+TOKEN = rf"{LETTER}{{1,4}}+|\S"
 GRAM, WINDOW = 5, 8
 PLACE_BITS = 23
 PLACES = (1 << PLACE_BITS) - 1
@@ -45,7 +44,8 @@ BLOCK_ROWS, MOST_BLOCKS = 128, 1 << 15
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """The rows with the packed fingerprint of a text column, an array of longs in order of place."""
     hashes, packed = f"__hashes_{name}", f"__packed_{name}"
-    tokens = F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))
+    spaced = F.when(F.col(text).rlike(LONG), F.regexp_replace(text, EACH, "$1 ")).otherwise(F.col(text))
+    tokens = F.regexp_extract_all(spaced, F.lit(TOKEN), F.lit(0))
     df = df.withColumn(hashes, F.transform(tokens, lambda x: F.xxhash64(x)))
 
     def gram(x: Column, i: Column) -> Column:

@@ -7,7 +7,15 @@ import pytest
 import regex
 
 from stratalake.llm import winnowing
-from stratalake.llm.winnowing import GRAM, TOKEN, WINDOW, fingerprints
+from stratalake.llm.winnowing import GRAM, LONGEST, UNSPACED, WINDOW, fingerprints
+
+# The same tokens in one pattern, which looks behind itself to find where a word began.
+LETTER = r"[^\s\p{P}\p{S}\p{Z}\p{C}" + UNSPACED + "]"
+TOKEN = "|".join(
+    [rf"(?<!{LETTER})(?={LETTER}{{1,{LONGEST}}}+(?!{LETTER})){LETTER}{{1,4}}"]
+    + [rf"(?<=(?<!{LETTER}){LETTER}{{{n}}})(?={LETTER}{{1,{LONGEST - n}}}+(?!{LETTER})){LETTER}{{1,4}}" for n in range(4, LONGEST, 4)]
+    + [r"\S"]
+)
 
 
 def edited(rows):
