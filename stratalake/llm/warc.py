@@ -17,7 +17,8 @@ Ranges are read with Arrow's file systems, by the URI of the archive folder; tha
 one that all executors reach (a shared path, S3, GCS, ABFS or HDFS).
 
 Null html is an empty payload. A null page id is written without one, never the smallest, and
-reads back as null. Repeated rows are records of their own. Empty tables make no records.
+reads back as null; its record id is a random one. Repeated rows are records of their own, repeated
+ids give equal record ids. Empty tables make no records.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,8 +37,10 @@ from stratalake.sources.scratch import scratch_folder, stored
 
 #: Fixed values of the format.
 MAGIC, END = b"WARC/1.1\r\n", "\r\n\r\n"
-#: Bytes of a range, and of a header at most.
-RANGE, HEADER = 8 << 20, 64 << 10
+#: Bytes of a range, and of those read behind it at first; a longer header is read on to its end.
+RANGE, BEHIND = 8 << 20, 64 << 10
+#: Tasks that ranges are dealt to at most; more ranges share tasks.
+MOST_TASKS = 1 << 14
 
 
 def base32(hex_digest: Column) -> Column:
@@ -55,7 +59,7 @@ def with_response(pages: DataFrame, least_bytes: int) -> DataFrame:
     return joined.select("page_id", "url", "html", F.when(later, F.col("first")).alias("refers_to"))
 
 
-def record(page_id: Column, url: Column, html: Column, refers_to: Column) -> Column:
+def record(page_id: Column, url: Column, html: Column, refers_to: Column, date: str) -> Column:
     size = F.octet_length(html).cast("string")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit(END))
     block = F.concat(http, F.when(refers_to.isNull(), html).otherwise(""))
@@ -67,7 +71,8 @@ def record(page_id: Column, url: Column, html: Column, refers_to: Column) -> Col
     return F.concat(
         F.lit(MAGIC.decode()),
         line("WARC-Type", F.when(refers_to.isNull(), "response").otherwise("revisit")),
-        line("WARC-Record-ID", id_of(page_id)),
+        line("WARC-Record-ID", F.coalesce(id_of(page_id), F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", F.regexp_replace(url, r"[\r\n]", "")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.sha1(html)))),
         line("WARC-Profile", F.when(refers_to.isNotNull(), "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -79,10 +84,11 @@ def record(page_id: Column, url: Column, html: Column, refers_to: Column) -> Col
     )
 
 
-def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
-    """One record per row; as many files as there are tasks."""
+def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: str | None = None) -> None:
+    """One record per row; as many files as there are tasks. ``date``: the records' time, now if not given."""
     rows = with_response(pages, least_bytes)
-    made = record(F.col("page_id"), F.col("url"), F.col("html"), F.col("refers_to"))
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    made = record(F.col("page_id"), F.col("url"), F.col("html"), F.col("refers_to"), date)
     rows.select(made.alias("value")).write.option("lineSep", END).text(folder)
 
 
@@ -105,44 +111,80 @@ class Source:
 FIELD = re.compile(rb"([!-9;-~]+):[ \t]*([^\r\n]*)\r\n")
 
 
-def header_at(data: bytes, at: int) -> tuple[dict[bytes, bytes], int] | None:
-    """Fields of a record header that begins at a place, lower-case names, and where it ends."""
+#: A header of which not all bytes have been read.
+UNREAD = object()
+
+
+def header_at(data: bytes, at: int):
+    """Fields of a record header that begins at a place, lower-case names, and where it ends.
+
+    None where there is none, ``UNREAD`` where the bytes end before the header does.
+    """
     if not data.startswith(MAGIC, at):
         return None
     fields, at = {}, at + len(MAGIC)
     while hit := FIELD.match(data, at):
         fields[hit[1].lower()] = hit[2]
         at = hit.end()
-    if not data.startswith(b"\r\n", at) or not fields.get(b"content-length", b"").isdigit() or b"warc-type" not in fields:
+    if not data.startswith(b"\r\n", at):
+        return None if data.find(b"\r\n", at) >= 0 else UNREAD
+    size = fields.get(b"content-length", b"")
+    if not size.isdigit() or len(size) > 18 or b"warc-type" not in fields:
         return None
     return fields, at + 2
 
 
-def ranges_of(spark: SparkSession, folder: str, size: int) -> DataFrame:
-    """``path, length, part, start, stop``: byte ranges of the files of a folder."""
+class Window:
+    """The bytes of a file from one place on, read further where a header goes on behind them."""
+
+    def __init__(self, source: Source, path: str, start: int, stop: int, length: int) -> None:
+        self.source, self.path, self.start, self.length = source, path, start, length
+        self.data = source.read(path, start, min(stop + BEHIND, length))
+
+    def header(self, at: int):
+        while (found := header_at(self.data, at)) is UNREAD:
+            end = self.start + len(self.data)
+            if end >= self.length:
+                return None
+            self.data += self.source.read(self.path, end, min(end + max(len(self.data), BEHIND), self.length))
+        return found
+
+    def bytes(self, at: int, size: int) -> bytes:
+        part = self.data[at : at + size]
+        return part if len(part) == size else self.source.read(self.path, self.start + at, self.start + at + size)
+
+
+def ranges_of(spark: SparkSession, folder: str, size: int) -> tuple[DataFrame, int]:
+    """``path, length, part, start, stop``: byte ranges of the files of a folder; and how many tasks to deal them to."""
     files = spark.read.format("binaryFile").load(folder).select("path", "length").filter("length > 0")
     parts = files.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size))))
     start = F.col("part") * size
     ranges = parts.withColumns({"start": start, "stop": F.least(start + size, F.col("length"))})
-    return ranges.repartition("path", "part")
+    many = files.agg(F.sum(F.ceil(F.col("length") / size))).first()[0]
+    return ranges, min(max(many or 1, 1), MOST_TASKS)
 
 
 CHAIN = "path string, length long, part long, stop long, start long, next long"
 
 
 def candidates(ranges: DataFrame) -> DataFrame:
-    """``path, length, part, stop, start, next``: every place where a header parses, and its successor."""
+    """``path, length, part, stop, start, next``: every place where a header parses, and its successor.
+
+    No record ends beyond its file, so places whose successor does are none.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source = Source()
         for batch in batches:
             for x in batch.to_pylist():
-                data = source.read(x["path"], x["start"], min(x["stop"] + HEADER, x["length"]))
-                found, at = [], data.find(MAGIC)
+                window = Window(source, x["path"], x["start"], x["stop"], x["length"])
+                found, at = [], window.data.find(MAGIC)
                 while 0 <= at < x["stop"] - x["start"]:
-                    if header := header_at(data, at):
-                        found.append((x["start"] + at, x["start"] + header[1] + int(header[0][b"content-length"]) + len(END)))
-                    at = data.find(MAGIC, at + 1)
+                    if header := window.header(at):
+                        following = x["start"] + header[1] + int(header[0][b"content-length"]) + len(END)
+                        if following <= x["length"]:
+                            found.append((x["start"] + at, following))
+                    at = window.data.find(MAGIC, at + 1)
                 columns = [[x[c]] * len(found) for c in ("path", "length", "part", "stop")] + [[f[i] for f in found] for i in (0, 1)]
                 kinds = [pa.string(), *[pa.int64()] * 5]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["path", "length", "part", "stop", "start", "next"])
@@ -171,8 +213,11 @@ def entries(found: DataFrame) -> DataFrame:
         n = len(out)
         return pa.table([pa.array([table["path"][0].as_py()] * n), pa.array([table["length"][0].as_py()] * n), pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.int64())], names=["path", "length", "start", "exit"])
 
-    exits = found.groupBy("path", "part").applyInArrow(leave, "path string, length long, start long, exit long")
-    jumps = stored_exits = stored(exits, "exits")
+    exits = stored(found.groupBy("path", "part").applyInArrow(leave, "path string, length long, start long, exit long"), "exits")
+    # only where a file begins and where some chain enters a range: a few places of each range
+    landed = exits.select("path", F.col("exit").alias("start")).distinct()
+    entered = exits.filter("start > 0").join(landed.hint("merge"), ["path", "start"], "left_semi")
+    jumps = stored_exits = stored(exits.filter("start = 0").unionByName(entered.select(exits.columns)), "jumps")
     reached = stored(jumps.filter("start = 0").select("path", "start"), "reached")
     while True:
         over = jumps.select("path", "start", "exit")
@@ -199,15 +244,16 @@ def read_archives(spark: SparkSession, folder: str, range_bytes: int = RANGE) ->
 
     The payload of a revisit is null. A response whose payload does not have its digest is an error.
     """
-    ranges = ranges_of(spark, folder, range_bytes)
-    found = stored(candidates(ranges), "candidates")
+    ranges, tasks = ranges_of(spark, folder, range_bytes)
+    # a given number of partitions is not merged, however small the rows that name the ranges are
+    found = stored(candidates(ranges.repartition(tasks, "path", "part")), "candidates")
     # A file without any record at its first byte has no chain; it may not pass unseen.
     whole = ranges.filter("part = 0").select("path").join(found.filter("start = 0").select("path"), "path", "left_anti").limit(1)
     if not whole.isEmpty():
         raise ValueError(f"no record at the start of {whole.first()['path']}")
     reached = entries(found).withColumn("part", F.floor(F.col("start") / range_bytes))
     begins = reached.groupBy("path", "part").agg(F.min("start").alias("entry"))
-    todo = ranges.join(begins, ["path", "part"])
+    todo = ranges.join(begins.hint("merge"), ["path", "part"]).repartition(tasks, "path", "part")
 
     def number(value: bytes | None) -> int | None:
         hit = re.fullmatch(rb"<urn:page:(-?\d+)>", value or b"")
@@ -218,13 +264,11 @@ def read_archives(spark: SparkSession, folder: str, range_bytes: int = RANGE) ->
         for batch in batches:
             for x in batch.to_pylist():
                 at, stop, out = x["entry"], x["stop"], []
-                data, origin = source.read(x["path"], at, min(stop + HEADER, x["length"])), at
+                window, origin = Window(source, x["path"], at, stop, x["length"]), at
                 while at < stop:
-                    fields, body = header_at(data, at - origin)
+                    fields, body = window.header(at - origin)
                     size = int(fields[b"content-length"])
-                    block = data[body : body + size]
-                    if len(block) < size:
-                        block = source.read(x["path"], origin + body, origin + body + size)
+                    block = window.bytes(body, size)
                     http, _, payload = block.partition(END.encode())
                     length = int(re.search(rb"(?i)^content-length: *(\d+)", http, re.M)[1])
                     kind, digest = fields[b"warc-type"].decode(), fields[b"warc-payload-digest"].decode().removeprefix("sha1:")

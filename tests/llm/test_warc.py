@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import glob
 import hashlib
 import random
 
@@ -62,3 +63,36 @@ def test_a_broken_chain_is_an_error(spark, tmp_path):
 
 def test_chains_leave_their_range():
     assert chained([(0, 10), (10, 25), (12, 13), (15, 40)], 20) == {0: 25, 10: 25, 12: -1, 15: 40}
+
+
+def parsed(data):
+    """Records of one file, by their lengths alone."""
+    at = 0
+    while at < len(data):
+        head, _, rest = data[at:].partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        fields = dict(line.split(": ", 1) for line in lines)
+        size = int(fields["Content-Length"])
+        assert version == "WARC/1.1" and rest[size : size + 4] == b"\r\n\r\n"
+        yield fields, rest[:size]
+        at += len(head) + 4 + size + 4
+
+
+def test_long_headers_false_lengths_and_an_independent_reader(spark):
+    huge = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 99999999999999999999\r\n\r\n"
+    beyond = huge.replace("9" * 20, "9" * 15)
+    endless = "WARC/1.1\r\nno end of the line " + "x" * 300_000
+    rows = [(1, "http://a/" + "u" * 200_000, "p" * 900), (2, "b", huge * 3), (3, "c", beyond), (4, "d", endless), (None, "e", "n")]
+    rows += [(i, "same", "s") for i in range(10, 40)]
+    folder = scratch_folder(spark, "warc")
+    write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder, date="2024-05-06T07:08:09Z")
+    found = read_archives(spark, folder, range_bytes=700)
+    assert found.rdd.getNumPartitions() > 100  # a task for each range, not one for all
+    found = found.collect()
+    assert sorted(str(r.page_id) for r in found) == sorted(str(r[0]) for r in rows)
+    assert {r.page_id: r.payload for r in found if r.page_id in (2, 4)} == {2: (huge * 3).encode(), 4: endless.encode()}
+    data = b"".join(open(name, "rb").read() for name in sorted(glob.glob(folder.removeprefix("file:") + "/part-*")))
+    records = list(parsed(data))
+    assert len(records) == len(rows) and {f["WARC-Date"] for f, _ in records} == {"2024-05-06T07:08:09Z"}
+    assert len({f["WARC-Record-ID"] for f, _ in records}) == len(rows)
+    assert sum(f["WARC-Type"] == "revisit" for f, _ in records) == 29
