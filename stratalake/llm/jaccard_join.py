@@ -29,7 +29,8 @@ difference of the sets.
 
 Null or empty texts: no shingles, linked with nothing. Rows without an id are no candidates for
 ``component_id`` and get their component's, or null. Repeated ids are judged by their texts.
-Sets, and words of a band, are told apart by 64 bits; comparison is on 64-bit shingle hashes.
+Sets, and words of a band, are told apart by 64 bits; comparison is on 64-bit shingle hashes, which
+are no sums or products of letters (``words.Hasher``). Very long texts are worked on alone.
 """
 
 from __future__ import annotations
@@ -55,6 +56,8 @@ COMMON = 64
 RARE, WHOLE, SINGLE = 1, 2, 3
 #: Bytes of text, and shingles, that a task works on at once.
 CHUNK, HELD = 2 << 20, 1_500_000
+#: Classes of a group that one task compares with each other, or with as many.
+BLOCK = 1024
 
 
 def _bands(most: int) -> np.ndarray:
@@ -303,34 +306,41 @@ def later_pairs(found: DataFrame, labels: DataFrame, classes: DataFrame, tested:
 
     Sketches are compared inside the group, so that unlike texts with a common word make no row.
     """
-    at = found.select(F.xxhash64("members").alias("g"), F.md5("members").alias("h"), "members")
+    schema = pa.schema([("g", pa.int64()), ("at", pa.int32()), ("many", pa.int32()), ("node", pa.int64())])
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for g, h, blob in zip(*(batch.column(c).to_pylist() for c in ("g", "h", "members"))):
+            for g, blob in zip(batch.column("g").to_pylist(), batch.column("members").to_pylist()):
                 name = np.frombuffer(blob, np.int64)
-                yield pa.record_batch([pa.array([g] * len(name), pa.int64()), pa.array([h] * len(name)), pa.array(name)], names=["g", "h", "node"])
-
-    each = at.mapInArrow(names, "g long, h string, node long").join(labels, "node", "left")
-    each = stored(each.select("g", "h", "node", F.coalesce("label", "node").alias("label")), "members")
-    apart = each.groupBy("g", "h").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = each.join(apart.select("g", "h"), ["g", "h"], "left_semi").join(classes.withColumnRenamed("name", "node"), "node")
+                row = (np.full(len(name), g), np.arange(len(name), dtype=np.int32), np.full(len(name), len(name), np.int32), name)
+                yield pa.record_batch([pa.array(x) for x in row], schema=schema)
+
+    # the number of a group is made once: everything below reads the stored rows
+    each = found.select(F.monotonically_increasing_id().alias("g"), "members").mapInArrow(names, "g long, at int, many int, node long")
+    each = stored(each.join(labels, "node", "left").select("g", "at", "many", "node", F.coalesce("label", "node").alias("label")), "members")
+    apart = each.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    open_ = each.join(apart.select("g"), "g", "left_semi").join(classes.withColumnRenamed("name", "node"), "node")
+    # a large group is cut in blocks, and each pair of blocks is compared by itself
+    own, last = F.floor(F.col("at") / BLOCK).cast("int"), F.floor((F.col("many") - 1) / BLOCK).cast("int")
+    open_ = open_.select("g", "node", "label", "size", "parity", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    open_ = open_.select("g", "node", "label", "size", "parity", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
 
     def cross(table: pa.Table) -> pa.Table:
-        node, label, size = (table[c].to_numpy() for c in ("node", "label", "size"))
+        node, label, size, own = (table[c].to_numpy() for c in ("node", "label", "size", "own"))
+        apart_blocks = table["low"][0].as_py() != table["high"][0].as_py()
         parity = table["parity"].to_pylist()
         least = min(map(len, parity))
         bits = np.array([folded(p, least) for p in parity])
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in range(len(node)):
-            other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+            other = np.flatnonzero((label[i + 1 :] != label[i]) & ((own[i + 1 :] != own[i]) | (not apart_blocks))) + i + 1
             differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
             other = other[fits(size[i], size[other], differ)]
             a.append(np.minimum(node[i], node[other]))
             b.append(np.maximum(node[i], node[other]))
         return pa.table([np.concatenate(x) for x in (a, b)], schema=PAIR)
 
-    pairs = open_.groupBy("g", "h").applyInArrow(cross, "a long, b long").distinct()
+    pairs = open_.groupBy("g", "low", "high").applyInArrow(cross, "a long, b long").distinct()
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 

@@ -70,3 +70,11 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, op8_jaccard_join(spark, folder).collect())) == sorted(brute(rows))
+
+
+def test_words_of_like_shape_do_not_link_texts(texts):
+    one, two = "a", "b"
+    while len(one) < 1024:
+        one, two = one + two, two + one
+    rows = near_duplicates(texts([(1, one), (2, two), (3, "y " * 50_000)])).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {1: (1, 1), 2: (1, 2), 3: (1, 3)}
