@@ -346,9 +346,10 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The rows with personal data in ``text`` replaced, and ``n_chars`` where there is one."""
-    trees = fit(profile(with_candidates(docs.select("text"))))
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    spans = with_candidates(kept).withColumn("spans", all_spans(trees))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = with_candidates(rows.withColumn("text", F.col("row.text"))).drop("text")
+    found = stored(found, "candidates")  # patterns and features are worked out once, in a plan of their own
+    spans = found.withColumn("spans", all_spans(fit(profile(found)))).withColumn("text", F.col("row.text"))
     made = spans.withColumn("text", redacted(F.col("text"), F.col("spans")))
     value = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
