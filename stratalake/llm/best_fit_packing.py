@@ -94,10 +94,10 @@ class Ids:
         ranks = {bytes(letters[c] for c in token): at for token, at in vocab.items()}
         return tiktoken.Encoding("ranks", pat_str=CUT, mergeable_ranks=ranks, special_tokens=added)
 
-    def of(self, text: str) -> list[int]:
+    def of(self, text: str) -> np.ndarray:
         if self.fast is None or len(text) > LARGE:
-            return self.slow.encode(text, add_special_tokens=False).ids
-        return self.fast.encode(text, allowed_special="all")
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return self.fast.encode_to_numpy(text, allowed_special="all")
 
 
 @lru_cache(maxsize=2)
@@ -125,7 +125,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
         for batch in chunks(batches, most=CHUNK):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                tokens = np.array([*made.of(text or ""), end], dtype="<u4")
+                tokens = np.append(made.of(text or ""), end).astype("<u4")
                 at, stop, piece = 0, len(tokens) % capacity or capacity, 0
                 while at < len(tokens):
                     part = tokens[at:stop]
