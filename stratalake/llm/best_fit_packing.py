@@ -193,8 +193,9 @@ def swept(spark: SparkSession, rows: list[tuple], ranges: int) -> list[tuple]:
         if done:
             yield pa.record_batch([pa.array(c, pa.int32() if i == 0 else pa.int64()) for i, c in enumerate(zip(*done))], names=names)
 
+    runs = spark.createDataFrame(rows, RUN)
     # of one size, documents stand before gaps, which so lie in the range of the documents below them
-    runs = spark.createDataFrame(rows, RUN).repartitionByRange(ranges, "size", "kind", "first")
+    runs = runs.repartitionByRange(ranges, "size", "kind", "first") if ranges > 1 else runs.coalesce(1)
     return [tuple(r) for r in runs.mapInArrow(work, RUN).collect()]
 
 
