@@ -16,9 +16,11 @@ many tasks. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS``
 
 Components become floor(64 x). Null vectors, vectors with null or non-finite components, and of
 several lengths those that differ from the most frequent one, take no part. Scores are exact:
-they are computed on whole numbers. Ties go to the smaller id; of rows with one id each is a
-candidate, and a query's own id is none; of several query rows with one id the smallest vector
-asks. Null ids take no part. Components are kept in 32 bits; larger ones take no part.
+they are computed on whole numbers, and one outside of 64 bits counts as the nearest inside. Ties
+go to the smaller id; of rows with one id each is a candidate, and a query's own id is none; of
+several query rows with one id the smallest vector asks. Null ids take no part. Blocks hold
+components in 32 bits where all fit and as doubles, which hold them exactly, elsewhere. Doubles of
+2^500 and more, whose squares are infinite, take no part; single floats are never that large.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.sources.scratch import stored
@@ -37,25 +39,32 @@ from stratalake.sources.scratch import stored
 #: Pivots at most, vectors of a data block, queries of a query block.
 PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 1024, 256
 SCALE = 64
-#: Scaled components are below this.
-LIMIT = float(1 << 31)
+#: Components are below this; squares of larger ones are infinite.
+LIMIT = 2.0**500
+#: Doubles of this size and more are whole numbers.
+WHOLE = 2.0**52
 
 
 def whole_vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``vec_id, v``: vectors of whole numbers, all of one length."""
     x = F.col(embedding)
-    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LIMIT / SCALE))
+    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LIMIT))
     kept = rows.filter(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0)).filter(good)
-    scaled = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long"))
-    kept = kept.select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("v"))
+
+    def scaled(c: Column) -> Column:
+        c = c.cast("double") * SCALE
+        return F.when(F.abs(c) < WHOLE, F.floor(c).cast("double")).otherwise(c)
+
+    kept = kept.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, scaled).alias("v"))
     usual = kept.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return kept.filter(F.size("v") == (usual["n"] if usual else 0))
 
 
 def pivots(vectors: DataFrame, most: int) -> np.ndarray:
-    """At most ``most`` different vectors, those with the smallest hashes."""
-    drawn = vectors.select("v", F.xxhash64("v").alias("h")).groupBy("v").agg(F.first("h").alias("h")).orderBy("h").limit(most)
-    found = [x["v"] for x in drawn.toLocalIterator()]
+    """Different vectors, those with the ``most`` smallest hashes; only hashes are shuffled."""
+    hashed = vectors.select("v", F.xxhash64("v").alias("h"))
+    least = [x["h"] for x in hashed.select("h").distinct().orderBy("h").limit(most).toLocalIterator()]
+    found = sorted(x["v"] for x in hashed.filter(F.col("h").isin(least)).select("v").distinct().toLocalIterator()) if least else []
     return np.array(found, np.float64) if found else np.zeros((0, 1))
 
 
@@ -63,6 +72,28 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+def packed(v: np.ndarray) -> bytes:
+    """Whole numbers in 32 bits where all fit, else as doubles."""
+    return v.astype(np.int32 if not v.size or np.abs(v).max() < 1 << 31 else np.float64).tobytes()
+
+
+def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, np.int32 if len(data) == 4 * rows * width else np.float64).reshape(rows, width).astype(np.float64)
+
+
+def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers, exact, in 64 bits or the nearest number that has so many."""
+    most = float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1]
+    if most < 2.0**52:  # exact in doubles
+        return (q @ v.T).astype(np.int64)
+    if most < 2.0**62 and max(np.abs(q).max(), np.abs(v).max()) < 2.0**62:
+        return q.astype(np.int64) @ v.astype(np.int64).T
+    whole = [[int(x) for x in row] for row in v]
+    ends = np.iinfo(np.int64)
+    exact = [[sum(a * b for a, b in zip(asks, row)) for row in whole] for asks in ([int(x) for x in row] for row in q)]
+    return np.array([[min(max(x, int(ends.min) + 1), int(ends.max)) for x in row] for row in exact], np.int64)
+
+
 def blocks(vectors: DataFrame, centres: np.ndarray, size: int) -> DataFrame:
     """``cell, block, far, ids, vectors``: vectors by cell, in blocks of about ``size``, nearest to the pivot first."""
     width = centres.shape[1]
@@ -74,8 +105,8 @@ def blocks(vectors: DataFrame, centres: np.ndarray, size: int) -> DataFrame:
         def block(cell: int) -> pa.RecordBatch:
             ids, far, v = (np.concatenate(x) for x in zip(*held.pop(cell)))
             order = np.argsort(far, kind="stable")
-            ids, far, v = ids[order], far[order], v[order].astype(np.int32)
-            row = [cell, (task << 32) + next(made), far.tobytes(), ids.tobytes(), v.tobytes()]
+            ids, far, v = ids[order], far[order], v[order]
+            row = [cell, (task << 32) + next(made), far.tobytes(), ids.tobytes(), packed(v)]
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, BLOCK.types)], schema=BLOCK)
 
         for batch in batches:
@@ -144,8 +175,10 @@ def needed(q_ids: np.ndarray, queries: np.ndarray, centres: np.ndarray, cells: l
     sure[q_ids[:, None] == np.concatenate([ids for _, ids, *_ in cells])[None, :]] = -np.inf
     least = -np.partition(-sure, k - 1, 1)[:, [k - 1]] if sure.shape[1] >= k else np.full((len(queries), 1), -np.inf)
     most = middle + length * np.array([r for *_, r in cells])[None, :]
-    slack = 1e-6 * (1 + np.abs(most))
-    return at[(most + slack >= least).any(0)].tolist()
+    # rounding is in proportion to the lengths, also where products cancel
+    slack = 1e-6 * (1 + length * (np.sqrt((centres[at] ** 2).sum(1)) + np.array([r for *_, r in cells]))[None, :])
+    ends = (-(2.0**63), 2.0**63)  # scores beyond them are equal
+    return at[(np.clip(most + slack, *ends) >= np.clip(least, *ends)).any(0)].tolist()
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -166,8 +199,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, q in zip(batch.column("q_ids").to_pylist(), batch.column("q").to_pylist()):
-                asking = np.frombuffer(q, np.int32).reshape(-1, width).astype(float)
-                to = needed(np.frombuffer(ids, np.int64), asking, centres, cells, k)
+                asking = np.frombuffer(ids, np.int64)
+                to = needed(asking, unpacked(q, len(asking), width), centres, cells, k)
                 yield pa.record_batch([pa.array([ids] * len(to), pa.binary()), pa.array([q] * len(to), pa.binary()), pa.array(to, pa.int64())], names=["q_ids", "q", "cell"])
 
     sent = asked.mapInArrow(route, "q_ids binary, q binary, cell long")
@@ -179,12 +212,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q", "ids", "vectors"))):
-                q_id, q, v_id, v = (np.frombuffer(x, t).reshape(s) for x, t, s in zip(row, (np.int64, np.int32) * 2, (-1, (-1, width)) * 2))
-                score = q.astype(float) @ v.astype(float).T
-                if float(np.abs(q).max()) * float(np.abs(v).max()) * width > 2.0**52:  # beyond exact doubles
-                    score = q.astype(np.int64) @ v.astype(np.int64).T
+                q_id, v_id = np.frombuffer(row[0], np.int64), np.frombuffer(row[2], np.int64)
+                score = products(unpacked(row[1], len(q_id), width), unpacked(row[3], len(v_id), width))
                 order = np.argsort(v_id, kind="stable")
-                v_id, score = v_id[order], score[:, order].astype(np.int64)
+                v_id, score = v_id[order], score[:, order]
                 rows, cols = [], []
                 for i in range(len(q_id)):
                     other = np.flatnonzero(v_id != q_id[i])

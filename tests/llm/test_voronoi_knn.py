@@ -17,7 +17,8 @@ def brute(rows, k):
         if i % 20 == 0:
             asked[i] = min(asked.get(i, v), v)
     for i, q in asked.items():
-        best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i)[:k]
+        score = lambda v: min(max(sum(a * b for a, b in zip(q, v)), 1 - 2**63), 2**63 - 1)
+        best = sorted((-score(v), j) for j, v in good if j != i)[:k]
         yield from ((i, rank, j, -score) for rank, (score, j) in enumerate(best, 1))
 
 
@@ -49,6 +50,19 @@ def test_many_rows_of_the_query_id(texts, copies):
     assert sorted(map(tuple, found)) == [(20, 1, 1, 64 * 32), (20, 2, 2, 64 * 16)] == sorted(brute(rows, 2))
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_large_components(texts, kind):
+    rng = random.Random(2)
+    sizes = [0.5, 3.0, 5.0e7, 2.0**30, 2.0**40, -(2.0**40), 1.0e15, 2.0**60, -3.0e38]
+    rows = [(i, [rng.choice(sizes) for _ in range(3)]) for i in range(120)] + [(200, [0.0, 0.0, 0.0]), (20, [1.0, 0.5, 0.25])]
+    frame = texts(rows, f"vec_id long, embedding array<{kind}>")
+    kept = [(r.vec_id, r.embedding) for r in frame.collect()]
+    vectors = whole_vectors(frame, "vec_id", "embedding")
+    assert vectors.count() == len(rows)
+    found = top_k(vectors, vectors.filter("vec_id % 20 = 0"), 9).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, found.collect())) == sorted(brute(kept, 9))
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
