@@ -20,12 +20,14 @@ That bound holds for any subset of the shingles. Shingles that many texts share
 first, as their words would join unlike texts; sets that keep too few others use their whole
 sketch among themselves, and sets too small even for that use their shingles.
 
-Groups of classes with a common word are compared in two rounds: first each class with that first
-of a group with which it shares most groups; after components are known, classes of one group
-that are still apart. So a group of thousands of near copies costs about one comparison each, and
-no linked pair is left untested unless it is in one component already. Before two sets are moved,
-their parity sketches of single bits are compared: the Hamming distance cannot be above the
-difference of the sets.
+Groups of classes with a common word are compared in three rounds: first each class with that first
+of a group with which it shares most groups; after components are known, each class with the hub of
+a group that is still apart, which is the member nearest to the majority of the group's sketches
+(of several hubs the nearest); last, all classes of one group that are in different components yet.
+So a group of thousands of near copies costs about two comparisons each, and no linked pair is left
+untested unless it is in one component already. Before two sets are moved, their parity sketches of
+single bits are compared: the Hamming distance cannot be above the difference of the sets. Hubs are
+chosen by sketches folded to ``BRIEF`` bytes.
 
 Null or empty texts: no shingles, linked with nothing. Rows without an id are no candidates for
 ``component_id`` and get their component's, or null. Repeated ids are judged by their texts.
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.bits import collect_set, contains, repeated
 from stratalake.llm.words import Hasher, chunks, mix, split_words
-from stratalake.sources.scratch import stored
+from stratalake.sources.scratch import drop_stored, stored
 
 SHINGLE = 5
 #: Linked at NUMERATOR / DENOMINATOR or more.
@@ -58,6 +60,8 @@ RARE, WHOLE, SINGLE = 1, 2, 3
 CHUNK, HELD = 2 << 20, 1_500_000
 #: Classes of a group that one task compares with each other, or with as many.
 BLOCK = 1024
+#: Bytes of the sketches by which hubs are chosen.
+BRIEF = 64
 
 
 def _bands(most: int) -> np.ndarray:
@@ -115,11 +119,12 @@ def _fresh(sets: Sets, seen: set) -> np.ndarray:
 
 
 def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, text_key, n_shingles, name, parity``.
+    """``doc_id, text_key, n_shingles, name, parity, brief``.
 
-    The name of the class is null without shingles; ``parity`` is given once a task and class.
+    The name of the class is null without shingles; the sketch ``parity`` and what it folds to,
+    ``brief``, are given once a task and class.
     """
-    schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "name")), ("parity", pa.binary())])
+    schema = pa.schema([*((c, pa.int64()) for c in ("doc_id", "text_key", "n_shingles", "name")), ("parity", pa.binary()), ("brief", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(8, fold_case=True), set()
@@ -127,10 +132,11 @@ def class_rows(docs: DataFrame, shingle: int) -> DataFrame:
             sets = Sets(batch.column("text"), hasher, shingle)
             name = pa.array(sets.name, mask=sets.size == 0)
             parity = [sets.parity(i) if new else None for i, new in enumerate(_fresh(sets, seen).tolist())]
-            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.size.astype(np.int64)), name, pa.array(parity, pa.binary())]
+            brief = [p and folded(p, min(len(p), BRIEF)).tobytes() for p in parity]
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(sets.size.astype(np.int64)), name, pa.array(parity, pa.binary()), pa.array(brief, pa.binary())]
             yield pa.record_batch(columns, schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, name long, parity binary")
+    return docs.mapInArrow(run, "doc_id long, text_key long, n_shingles long, name long, parity binary, brief binary")
 
 
 def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
@@ -301,11 +307,8 @@ def folded(parity: bytes, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, size), axis=0)
 
 
-def later_pairs(found: DataFrame, labels: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of one group that are in different components and may be linked by their sketches.
-
-    Sketches are compared inside the group, so that unlike texts with a common word make no row.
-    """
+def members_of(found: DataFrame) -> DataFrame:
+    """``g, at, many, node``: the numbered groups, a row per member."""
     schema = pa.schema([("g", pa.int64()), ("at", pa.int32()), ("many", pa.int32()), ("node", pa.int64())])
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +320,51 @@ def later_pairs(found: DataFrame, labels: DataFrame, classes: DataFrame, tested:
 
     # the number of a group is made once: everything below reads the stored rows
     each = found.select(F.monotonically_increasing_id().alias("g"), "members").mapInArrow(names, "g long, at int, many int, node long")
-    each = stored(each.join(labels, "node", "left").select("g", "at", "many", "node", F.coalesce("label", "node").alias("label")), "members")
+    return stored(each, "members")
+
+
+def apart_members(each: DataFrame, labels: DataFrame) -> DataFrame:
+    """``g, at, many, node, label`` of the groups whose members are not in one component."""
+    each = each.join(labels, "node", "left").select("g", "at", "many", "node", F.coalesce("label", "node").alias("label"))
+    each = stored(each, "labelled")
     apart = each.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = each.join(apart.select("g"), "g", "left_semi").join(classes.withColumnRenamed("name", "node"), "node")
+    return each.join(apart.select("g"), "g", "left_semi")
+
+
+def hub_pairs(each: DataFrame, labels: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
+    """Each class with the hub of a group, if in another component: of several hubs the nearest.
+
+    A row per class leaves this round, however many groups it is in. Blocks of a large group have
+    a hub each.
+    """
+    brief = classes.select(F.col("name").alias("node"), "size", "brief")
+    rows = apart_members(each, labels).join(brief, "node").withColumn("own", F.floor(F.col("at") / BLOCK))
+    schema = pa.schema([("node", pa.int64()), ("far", pa.float64()), ("hub", pa.int64())])
+
+    def nearest(table: pa.Table) -> pa.Table:
+        node, label, size = (table[c].to_numpy() for c in ("node", "label", "size"))
+        brief = table["brief"].to_pylist()
+        least = min(map(len, brief))
+        bits = np.array([folded(b, least) for b in brief])
+        most = np.packbits(2 * np.unpackbits(bits, axis=1).sum(axis=0, dtype=np.int64) >= len(node))
+        hub = np.lexsort((node, np.bitwise_count(bits ^ most).sum(axis=1, dtype=np.int64)))[0]
+        differ = np.bitwise_count(bits ^ bits[hub]).sum(axis=1, dtype=np.int64)
+        keep = (label != label[hub]) & fits(size, size[hub], differ)
+        far = differ[keep] / (size[keep] + size[hub])
+        return pa.table([node[keep], far, np.full(len(far), node[hub])], schema=schema)
+
+    met = rows.select("g", "own", "node", "label", "size", "brief").groupBy("g", "own").applyInArrow(nearest, "node long, far double, hub long")
+    best = met.groupBy("node").agg(F.min(F.struct("far", "hub")).alias("best")).select("node", "best.hub")
+    pairs = best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def later_pairs(each: DataFrame, labels: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
+    """Pairs of one group that are in different components and may be linked by their sketches.
+
+    Sketches are compared inside the group, so that unlike texts with a common word make no row.
+    """
+    open_ = apart_members(each, labels).join(classes.select(F.col("name").alias("node"), "size", "parity"), "node")
     # a large group is cut in blocks, and each pair of blocks is compared by itself
     own, last = F.floor(F.col("at") / BLOCK).cast("int"), F.floor((F.col("many") - 1) / BLOCK).cast("int")
     open_ = open_.select("g", "node", "label", "size", "parity", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
@@ -404,15 +449,18 @@ def components(links: DataFrame) -> DataFrame:
     long chains shrink by doubling.
     """
     edges = stored(links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*"), "edges")
-    labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
+    new = labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "labels")
     while True:
+        old = new
         near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("lower"))
         lower = stored(lower, "lower")
         jump = lower.select(F.col("node").alias("lower"), F.col("lower").alias("next"))
         new = stored(lower.join(jump, "lower").select("node", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")), "labels")
+        drop_stored(old, lower)
         labels = new.select("node", "label")
         if new.filter("moved").isEmpty():
+            drop_stored(edges)
             return labels
 
 
@@ -427,12 +475,19 @@ def judged(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     rows = stored(class_rows(docs, shingle), "classes")
     common = common_shingles(docs, shingle)
     found = stored(groups(docs, common, repeated_words(docs, common, shingle), shingle, buckets), "groups")
-    classes = rows.filter("parity IS NOT NULL").groupBy("name").agg(F.first("n_shingles").alias("size"), F.first("parity").alias("parity"))
+    classes = rows.filter("parity IS NOT NULL").groupBy("name").agg(F.first("n_shingles").alias("size"), F.first("parity").alias("parity"), F.first("brief").alias("brief"))
     classes = stored(classes, "sketches")
     first = stored(first_pairs(found), "pairs")
     links = stored(linked(docs, rows, stored(alike(first, classes), "alike"), shingle), "links")
     labels = components(links)
-    more = stored(later_pairs(found, labels, classes, first), "later")
+    each = members_of(found)
+    drop_stored(found)
+    hubs = stored(hub_pairs(each, labels, classes, first), "hubs")
+    if not hubs.isEmpty():
+        near = linked(docs, rows, stored(alike(hubs, classes), "alike"), shingle)
+        links = stored(links.unionByName(near), "links")
+        labels = components(links)
+    more = stored(later_pairs(each, labels, classes, first.select("a", "b").unionByName(hubs)), "later")
     if not more.isEmpty():
         labels = components(links.unionByName(linked(docs, rows, more, shingle)))
     names = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))

@@ -58,6 +58,21 @@ def test_equals_brute_force(texts, monkeypatch, common):
     assert sorted(str(tuple(r)) for r in near_duplicates(texts(rows).repartition(3)).collect()) == sorted(map(str, brute(rows)))
 
 
+def test_families_of_near_copies_in_blocks(texts, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    rng, rows = random.Random(3), []
+    for _ in range(3):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        for _ in range(70):
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    expected = brute(rows)
+    assert 3 < len({c for _, _, c in expected}) < len(rows) / 2
+    assert sorted(map(tuple, near_duplicates(texts(rows).repartition(3)).collect())) == sorted(expected)
+
+
 def test_one_row_of_each_group_stays(texts):
     one, other = "a b c d e f g h", "p q r s t u"
     rows = [(2, one), (1, one), (1, one), (None, one), (None, other), (5, None), (5, None), (6, "")]
