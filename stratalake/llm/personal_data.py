@@ -5,19 +5,27 @@ match that fails its check is dropped as a whole. That loses data that stands be
 digits: two card numbers in a row, or a telephone number before an address of a computer. So
 
 1. generators propose tight spans of each kind wherever one could begin, also inside what the base
-   patterns dropped; they overlap each other and the base spans;
-2. each candidate has small whole-number features of its format and of its context;
+   patterns dropped and in forms these do not know (cards of 14 and 15 digits, telephones without
+   +, addresses with "(at)"); they overlap each other and the base spans;
+2. each candidate has small whole-number features of its format and of its context. Whether it
+   passes the check of its kind is none of them: what fails is never added, and what passes is
+   judged by the rest;
 3. candidates of all documents are counted by their features, which is one row for each
-   combination that occurs, at most ``CELLS``; candidates equal to a base span are positive, those
-   of no kind's form are negative, and what the base patterns dropped or never saw is left open;
-4. decoys are planted among them: each positive card or address of a computer once more with digits
-   beside it that no other candidate takes, as negative, since part of a longer number is neither;
-5. boosted trees are fitted on these counts, and for each kind the lowest score whose candidates
-   are right in ``PRECISION`` of all labelled cases is its threshold;
-6. open candidates at or above it are added, best score first, where no span is yet.
+   combination that occurs, at most ``CELLS``. Base spans are positive. A candidate that fails its
+   check stands for ``CHANCE`` numbers that would pass it by accident in that place, as negative;
+   so does a telephone without + that no word of telephones precedes, for one;
+4. decoys are planted among them (``planted``): positives moved into places that speak against
+   them, such as words, identifiers, serial numbers, versions and longer numbers;
+5. documents are parted by a hash of the text: boosted trees are fitted on the counts of one part,
+   and on the other, by kind, scores are turned into shares of right candidates (isotonic
+   regression). The lowest score with a share of ``PRECISION`` is the kind's threshold;
+6. candidates at or above it are added, best score first, where no span is yet.
 
 Base spans always stay. Offsets are code points, ends exclusive. Null text is empty and has no
-spans; repeated rows are judged alike. Without any positive candidate of a kind, none is added.
+spans; repeated rows are judged alike. Without any positive candidate of a kind, none is added;
+where one of the two parts has none of a kind, both serve for fitting or for the threshold. Texts of
+any length are read whole, but of the context only ``LEFT`` and ``RIGHT`` code points are judged, so a
+longer number is seen as far as these reach. Other columns play no part; ``redact`` keeps them.
 """
 
 from __future__ import annotations
@@ -43,20 +51,34 @@ BASE = {
 TIGHT = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}+){1,4}+",
     "ip": r"(?<![0-9])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[0-9]{4}){3}[0-9]{0,3}(?![0-9])|(?<![0-9])[0-9]{4}(?:([\x20-])[0-9]{4})(?:\1[0-9]{4}){2}(?![0-9])",
-    "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9]|\.[0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{16,19}|[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?|3[0-9]{3}([\x20-]?)[0-9]{6}\2[0-9]{4,5})(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-]?[0-9]{2,4}){1,3}(?![0-9]|\.[0-9])|(?<![0-9+.()-])(?:\([0-9]{2,4}\)[\x20-]?|0[0-9]{2,4}[\x20/-]|[0-9]{3}[\x20.-])[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9]|[.-][0-9])",
 }
 OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"
-CONTEXT = r"(?i)(?:mail|contact|write|tel|phone|call|fax|mobil|card|visa|credit|account|konto|address|host|server|\bip\b)"
+#: Words that speak for a kind, anywhere in the context before, and words of other numbers right before.
+NAMED = {
+    "email": r"(?i)(?:mail|contact|write|address)",
+    "ip": r"(?i)(?:host|server|address|login|\bip\b)",
+    "card": r"(?i)(?:card|visa|credit|master|amex|account|konto|carte|tarjeta|karte|\bpay)",
+    "phone": r"(?i)(?:tel|phone|call|fax|mobil|contact|\bruf)",
+}
+OTHER = r"(?i)(?:version|release|build|serial|order|invoice|isbn|sku|model|part|section|\bref|\bno|\bid|\bv)[\x20:.#=]*$"
 #: What goes on before or after a candidate that is part of a longer number, by kind.
 LOOSE = {
     "ip": (r"[0-9]\.$", r"^\.[0-9]"),
     "card": (r"(?:^|[^.0-9])[0-9]+[\x20-]?$", r"^[\x20-]?[0-9]++(?!\.[0-9])"),
 }
-FEATURES = ("kind", "valid", "digits", "before", "after", "parts", "plus", "named", "few", "loose")
-CELLS = 4 * 2 * 24 * 4 * 4 * 4 * 2 * 2 * 2 * 2
-PRECISION = 0.95
-ROUNDS, DEPTH, RATE = 20, 2, 0.4
+FEATURES = ("kind", "digits", "before", "after", "parts", "plus", "named", "other", "few", "loose")
+CELLS = 4 * 24 * 5 * 5 * 4 * 2 * 2 * 2 * 2 * 2 * 3 * 2
+#: For each candidate that fails its check, so many pass it by accident: one number in ten passes Luhn's.
+CHANCE = {"email": 0.0, "ip": 1 / 20, "card": 1 / 9, "phone": 1 / 4}
+#: Decoys of each sort for one positive, telephones planted without +, and positives planted without
+#: the word that speaks for them: lists have it before the first only, where the context is cut.
+DECOYS, PLAIN, LISTED = 0.05, 0.2, 0.5
+PRECISION = 0.8
+#: One document in ``PARTS`` sets thresholds and is not fitted.
+PARTS = 3
+ROUNDS, DEPTH, RATE = 30, 3, 0.4
 #: Code points of context read before and after a candidate.
 LEFT, RIGHT = 24, 24
 
@@ -123,21 +145,30 @@ def passes(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _tight_passes(kind: str, text: Column) -> Column:
+    """The check of a generated candidate: as for a base match, and cards of 14 and 15 digits too."""
+    if kind == "card":
+        return luhn(digits_of(text))
+    return passes(kind, text)
+
+
 def _side(letter: Column) -> Column:
-    return F.when((letter == "") | letter.rlike(r"^\s$"), 0).when(letter.rlike("^[A-Za-z]$"), 1).when(letter.rlike("^[0-9]$"), 2).otherwise(3)
+    """0 blank or nothing, 1 letter, 2 digit, 3 mark of a sentence, 4 any other sign."""
+    blank = (letter == "") | letter.rlike(r"^\s$")
+    return F.when(blank, 0).when(letter.rlike(r"^\p{L}$"), 1).when(letter.rlike("^[0-9]$"), 2).when(letter.rlike(r"""^[.,;:!?()"'\[\]<>]$"""), 3).otherwise(4)
 
 
 def _features(kind: str, x: Column) -> dict[str, Column]:
     text, digits = x["text"], digits_of(x["text"])
     values = {
         "kind": F.lit(KINDS.index(kind)),
-        "valid": passes(kind, text).cast("int"),
         "digits": F.least(F.length(digits), F.lit(23)),
         "before": _side(F.right(x["left"], F.lit(1))),
         "after": _side(F.left(x["right"], F.lit(1))),
         "parts": F.when(text.rlike(r"[()]"), 3).when(text.rlike(r"\."), 2).when(text.rlike(r"[\x20-]"), 1).otherwise(0),
         "plus": F.startswith(text, F.lit("+")).cast("int"),
-        "named": x["left"].rlike(CONTEXT).cast("int"),
+        "named": x["left"].rlike(NAMED[kind]).cast("int"),
+        "other": x["left"].rlike(OTHER).cast("int"),
         "few": (F.size(F.array_distinct(F.split(digits, ""))) < 4).cast("int"),
     }
     return {name: F.coalesce(value, F.lit(0)).cast("int") for name, value in values.items()}
@@ -166,10 +197,11 @@ def _loose(candidates: str) -> Column:
 
 
 def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with ``base`` (``kind, start, stop``) and ``candidates`` (those, features, label).
+    """The rows with ``base`` (``kind, start, stop``) and ``candidates`` (those, features, valid, label).
 
-    ``label`` is 1 or 0, or null where it is open. A candidate that overlaps a base span without
-    being one is left out.
+    ``valid`` says whether the check of the kind is passed. ``label`` is 1 for base spans, 0 where
+    the check fails, and null where it is open. A candidate that overlaps a base span without being
+    one is left out. ``part`` is the document's part, 0 for the one that sets thresholds.
     """
     names = [f"{sort}_{kind}" for sort in ("base", "tight") for kind in KINDS]
     rows = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
@@ -190,9 +222,10 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def described(kind: str, labelled, sides=lambda x: F.lit(0)):
         def one(x: Column) -> Column:
-            features = _features(kind, x) | {"loose": sides(x)}
+            valid = F.coalesce(_tight_passes(kind, x["text"]), F.lit(False)).cast("int")
+            features = _features(kind, x) | {"loose": sides(x), "valid": valid}
             named = [value.alias(name) for name, value in features.items() if name != "kind"]
-            label = labelled(features).cast("int").alias("label")
+            label = labelled(valid).cast("int").alias("label")
             return F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"], x["stop"], *named, label)
 
         return one
@@ -212,13 +245,14 @@ def with_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
         def is_new(x: Column) -> Column:
             return F.exists(F.col(f"__new_{kind}"), lambda n: n == code(x))
 
-        good = F.transform(F.col(f"__kept_{kind}"), described(kind, lambda features: F.lit(1)))
+        good = F.transform(F.col(f"__kept_{kind}"), described(kind, lambda valid: F.lit(1)))
         tight = F.when(F.size(f"__new_{kind}") > 0, F.filter(F.col(f"__tight_{kind}"), is_new))
-        rest = F.transform(tight, described(kind, lambda features: F.when(features["valid"] == 0, 0), lambda x: _sides(kind, x)))
+        rest = F.transform(tight, described(kind, lambda valid: F.when(valid == 0, 0), lambda x: _sides(kind, x)))
         return F.concat(good, F.coalesce(rest, F.slice(good, 1, 0)))
 
     rows = rows.withColumn("candidates", F.concat(*[proposed(kind) for kind in KINDS]))
     rows = rows.withColumn("candidates", _loose("candidates"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("__text"), F.lit(PARTS)).cast("int"))
     return rows.drop("__text", *[f"__{x}" for x in names], *[f"__{x}_{kind}" for x in ("kept", "new") for kind in KINDS])
 
 
@@ -242,31 +276,78 @@ class Trees:
             total = total + value(tree)
         return total
 
-    def selects(self, x: Column) -> Column:
+    def value(self, cell: tuple) -> float:
+        def leaf(node) -> float:
+            while not isinstance(node, float):
+                feature, at, low, high = node
+                node = low if cell[feature] <= at else high
+            return node
+
+        return self.start + sum(leaf(tree) for tree in self.trees)
+
+    def chosen(self, candidates: str) -> Column:
+        """The candidates to add with their scores, best first."""
+        open_ = F.filter(candidates, lambda c: F.isnull(c["label"]) & (c["valid"] == 1))
+        scored = F.transform(open_, lambda c: F.struct((-self.score(c)).alias("low"), _place(c).alias("at")))
         least = F.array(*[F.lit(v) for v in self.least])
-        return F.isnull(x["label"]) & (self.score(x) >= F.get(least, x["kind"]))
+        return F.array_sort(F.filter(scored, lambda c: -c["low"] >= F.get(least, c["at"]["kind"])))
 
 
-def profile(candidates: DataFrame) -> list[tuple]:
-    """Labelled candidates of all rows counted by features: (features, rows, positives)."""
-    each = candidates.select(F.explode("candidates").alias("x")).filter("x.label IS NOT NULL").select("x.*")
-    cells = each.groupBy(*FEATURES).agg(F.count("*").alias("n"), F.sum("label").alias("y")).orderBy(*FEATURES).limit(CELLS)
-    return [(tuple(r[f] for f in FEATURES), r["n"], r["y"]) for r in cells.toLocalIterator()]
+def _place(c: Column) -> Column:
+    return F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"))
 
 
-def decoys(cells: list[tuple]) -> list[tuple]:
-    """The positive cells of the kinds in ``LOOSE`` as negatives in a longer number."""
-    kinds = [KINDS.index(kind) for kind in LOOSE]
-    return [((*c[:-1], 1), y, 0) for c, _, y in cells if c[0] in kinds and y and not c[-1]]
+def profile(candidates: DataFrame) -> list[tuple]:
+    """Candidates of all rows counted by part, features and label: (part, features, rows, label)."""
+    each = candidates.select("part", F.explode("candidates").alias("x")).select("part", "x.*")
+    cells = each.groupBy("part", *FEATURES, "label").agg(F.count("*").alias("n"))
+    found = [(r["part"], tuple(r[f] for f in FEATURES), r["n"], r["label"]) for r in cells.toLocalIterator()]
+    return sorted(found, key=lambda c: (c[0], c[1], -1 if c[3] is None else c[3]))
+
+
+def _moved(cell: tuple, **values: int) -> tuple:
+    return tuple(values.get(name, value) for name, value in zip(FEATURES, cell))
+
+
+def planted(cells: list[tuple]) -> list[tuple]:
+    """What is learned from: (part, features, negatives, positives), planted cases among them."""
+    known = []
+    for part, cell, n, label in cells:
+        kind, at = KINDS[cell[0]], dict(zip(FEATURES, cell))
+        if label == 0:
+            known.append((part, cell, n * CHANCE[kind], 0.0))
+        elif label is None and kind == "phone" and not at["plus"] and not at["named"]:
+            known.append((part, cell, float(n), 0.0))
+        elif label == 1:
+            real = [(cell, float(n))] + [(_moved(cell, named=0), n * LISTED)] * at["named"]
+            if kind == "phone":
+                real.append((_moved(cell, plus=0, named=1), n * PLAIN))
+            for place, weight in real:
+                known.append((part, place, 0.0, weight))
+                wrong = [_moved(place, before=side, named=0) for side in (1, 2, 4)]
+                wrong += [_moved(place, after=side, named=0) for side in (1, 2, 4)]
+                wrong += [_moved(place, other=1, named=0)]
+                known += [(part, bad, weight * DECOYS, 0.0) for bad in wrong]
+                if kind in LOOSE and not at["loose"]:
+                    known += [(part, _moved(place, loose=1, named=named), weight * DECOYS, 0.0) for named in (0, 1)]
+    return known
 
 
 def fit(cells: list[tuple]) -> Trees:
-    """Newton boosting of shallow trees on counted cells and decoys."""
-    if not cells:
+    """Newton boosting of shallow trees on one part, thresholds from the other."""
+    known = planted(cells)
+    fitted, held = ([], [])
+    for k in range(len(KINDS)):
+        mine = [c for c in known if c[1][0] == k]
+        for side, rows in ((fitted, [c for c in mine if c[0]]), (held, [c for c in mine if not c[0]])):
+            side += rows if any(c[3] for c in rows) else mine
+    if not any(c[3] for c in known):
         return Trees(0.0, [], [math.inf] * len(KINDS))
-    cells = cells + decoys(cells)
-    x = np.array([c[0] for c in cells])
-    n, y = (np.array([c[i] for c in cells], float) for i in (1, 2))
+    x = np.array([c[1] for c in fitted])
+    n, y = np.array([c[2] + c[3] for c in fitted]), np.array([c[3] for c in fitted])
+    each = np.array([n[x[:, 0] == k].sum() for k in range(len(KINDS))])
+    alike = 1000 / np.where(each > 0, each, 1)[x[:, 0]]  # kinds count alike, however rare
+    n, y = n * alike, y * alike
     base = (y.sum() + 1) / (n.sum() + 2)
     start = math.log(base / (1 - base))
     score, trees = np.full(len(n), start), []
@@ -292,24 +373,35 @@ def fit(cells: list[tuple]) -> Trees:
         change = np.zeros(len(n))
         trees.append(grow(np.ones(len(n), bool), DEPTH))
         score = score + change
-    return Trees(start, trees, [_threshold(score[x[:, 0] == k], n[x[:, 0] == k], y[x[:, 0] == k]) for k in range(len(KINDS))])
+    model = Trees(start, trees, [])
+    model.least = [_threshold([(model.value(c[1]), c[2] + c[3], c[3]) for c in held if c[1][0] == k]) for k in range(len(KINDS))]
+    return model
 
 
-def _threshold(score: np.ndarray, n: np.ndarray, y: np.ndarray) -> float:
-    least = math.inf
-    for at in np.unique(score)[::-1]:
-        here = score >= at - 1e-9
-        if y[here].sum() < PRECISION * n[here].sum():
-            break
-        least = float(at - 1e-9)
-    return least
+def _threshold(cases: list[tuple]) -> float:
+    """The lowest score whose share of positives, made to rise with the score, is ``PRECISION``.
+
+    Neighbouring scores are pooled until shares rise (pool adjacent violators).
+    """
+    sums: dict[float, list[float]] = {}
+    for score, n, y in cases:
+        total = sums.setdefault(round(score, 9), [0.0, 0.0])
+        total[0] += n
+        total[1] += y
+    pools: list[list[float]] = []
+    for score in sorted(sums):
+        pools.append([score, *sums[score]])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][1] >= pools[-1][2] * pools[-2][1]:
+            _, n, y = pools.pop()
+            pools[-1][1] += n
+            pools[-1][2] += y
+    good = [low for low, n, y in pools if n > 0 and y >= PRECISION * n]
+    return min(good) - 1e-6 if good else math.inf
 
 
 def all_spans(trees: Trees) -> Column:
     """Base spans and the candidates that the trees select, by kind and start."""
-    place = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"))
-    chosen = F.filter("candidates", trees.selects)
-    ranked = F.array_sort(F.transform(chosen, lambda c: F.struct((-trees.score(c)).alias("low"), place(c).alias("at"))))
+    ranked = trees.chosen("candidates")
 
     def add(kept: Column, c: Column) -> Column:
         at = c["at"]
@@ -359,7 +451,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id, base, spans``; texts are read once, the candidates are kept in between."""
-    found = stored(with_candidates(docs.select("doc_id", "text")).select("doc_id", "base", "candidates"), "candidates")
+    found = stored(with_candidates(docs.select("doc_id", "text")).select("doc_id", "base", "candidates", "part"), "candidates")
     return found.select("doc_id", "base", all_spans(fit(profile(found))).alias("spans"))
 
 

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from stratalake.llm.personal_data import KINDS, find, op9_personal_data, redact, written
+from stratalake.llm.personal_data import FEATURES, KINDS, _threshold, find, fit, op9_personal_data, profile, redact, with_candidates, written
 
 #: The base patterns as the contract gives them.
 PATTERNS = {
@@ -89,3 +89,89 @@ def test_query(spark):
         assert got.base_sha256 == digest(spans)
         assert [got[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in spans) for k in KINDS]
         assert {f"{k}:{a}:{b}" for k, a, b in spans} <= set(got.spans.split(","))
+
+
+def _planted(seed, size):
+    """Documents with data the base patterns miss, and numbers of the same look that are none."""
+    rng = random.Random(seed)
+    words = "the report was sent to them and they kept a copy of it for later use".split()
+
+    def prose():
+        return " ".join(rng.choice(words) for _ in range(rng.randint(3, 8)))
+
+    def card(length=16, lead="4"):
+        digits = lead + "".join(rng.choice("0123456789") for _ in range(length - len(lead) - 1))
+        return next(digits + d for d in "0123456789" if luhn(digits + d))
+
+    def fours(number):
+        return " ".join(number[i : i + 4] for i in range(0, 16, 4))
+
+    def phone():
+        return f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+
+    def ip():
+        return ".".join(str(rng.randint(1, 255)) for _ in range(4))
+
+    rows, wanted, clean = [], {}, set()
+
+    def add(parts, kind=None, hit=None):
+        text = " ".join(parts)
+        if kind:
+            wanted[len(rows)] = (kind, text.rindex(hit), text.rindex(hit) + len(hit))
+        elif hit is None:
+            pass
+        else:
+            clean.add(len(rows))
+        rows.append((len(rows), text))
+
+    for _ in range(size):
+        add([prose(), rng.choice([card(), fours(card()), phone(), ip(), f"{rng.choice(words)}.{rng.randint(1, 99)}@mail.org"]), prose()])
+    for _ in range(size // 20):
+        second, amex, number, plain = card(), card(15, "37"), phone(), f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        add([prose(), card(), second, prose()], "card", second)
+        add([prose(), "my card", amex, prose()], "card", amex)
+        add([prose(), number, "123.45.67.89", prose()], "phone", number)
+        add([prose(), "please call", plain, prose()], "phone", plain)
+        add([prose(), "write to ann(at)mail.org", prose()], "email", "ann(at)mail.org")
+        add([prose(), fours(card()), f"{rng.randint(1000, 9999)} {rng.randint(1000, 9999)}", prose()], None, "")
+        add([prose(), f"version 1{rng.randint(100, 999)}.{ip()}", prose()], None, "")
+        add([prose(), "serial no", card(15, "37"), prose()], None, "")
+        add([prose(), f"order id {rng.randint(100, 999)} {rng.randint(100, 999)} {rng.randint(1000, 9999)}", prose()], None, "")
+        add([prose(), f"a{rng.randint(10, 99)}x{card(15, '37')}b", prose()], None, "")
+    return rows, wanted, clean
+
+
+def test_recall_and_refusals_on_planted_data(texts):
+    rows, wanted, clean = _planted(5, 1200)
+    found = {r.doc_id: {(KINDS[s.kind], s.start, s.stop) for s in r.spans} for r in find(texts(rows)).collect()}
+    known = {i: set(base(t)) for i, t in rows}
+    for kind in ("email", "card", "phone"):  # whole addresses of computers are base spans
+        of_kind = [i for i, span in wanted.items() if span[0] == kind]
+        assert sum(wanted[i] in found[i] for i in of_kind) >= 0.9 * len(of_kind), kind
+    assert not any(wanted[i] in known[i] for i in wanted)
+    added = [i for i in clean if found[i] - known[i]]
+    assert len(added) <= 0.05 * len(clean), [rows[i] for i in added[:5]]
+
+
+def test_the_trees_use_format_and_context(texts):
+    rows, _, _ = _planted(6, 1200)
+    trees = fit(profile(with_candidates(texts(rows))))
+    used = set()
+
+    def walk(node):
+        if not isinstance(node, float):
+            used.add(FEATURES[node[0]])
+            walk(node[2])
+            walk(node[3])
+
+    for tree in trees.trees:
+        walk(tree)
+    assert "valid" not in FEATURES and len(used) >= 4 and {"before", "after", "other"} <= used
+    assert len(set(trees.least)) > 1
+
+
+def test_thresholds_are_calibrated_on_rising_shares():
+    cases = [(0.0, 10, 1), (1.0, 10, 9), (2.0, 10, 6), (3.0, 10, 9), (4.0, 10, 10)]
+    # 1.0 and 2.0 are pooled to 15 of 20, so that the first share of 0.8 is at 3.0
+    assert abs(_threshold(cases) - 3.0) < 1e-3
+    assert _threshold([(1.0, 10, 2)]) == _threshold([]) == float("inf")
