@@ -11,8 +11,11 @@ many rows have its id, and for each cell a score that none of its members exceed
 of one cell travel in blocks; a block is replicated to the blocks of the cells that one of its
 queries needs, is solved there, and each block keeps its best ``k`` per query before these meet.
 
-Cells are dealt in blocks of a bounded number of vectors, so a hot cell (copies of one vector) is
-many tasks. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS`` rows.
+Copies of one vector have one score with a query, and ties go to the smaller id; so of a vector
+that is a large share of all rows only the rows of its ``k + 1`` smallest ids are searched: its others
+can be no answer, whichever of these ids is the query's own. They are found from hashes and ids; the
+vectors themselves, at most ``HEAVY``, are joined back. Cells are dealt in blocks of a bounded number
+of vectors, so a hot cell is many tasks. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS`` rows.
 
 Components become floor(64 x). Null vectors, vectors with null or non-finite components, and of
 several lengths those that differ from the most frequent one, take no part. Scores are exact:
@@ -38,6 +41,8 @@ from stratalake.sources.scratch import stored
 
 #: Pivots at most, vectors of a data block, queries of a query block.
 PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 1024, 256
+#: Vectors of more than one in so many rows are searched by their smallest ids.
+HEAVY = 1024
 SCALE = 64
 #: Components are below this; squares of larger ones are infinite.
 LIMIT = 2.0**500
@@ -68,6 +73,28 @@ def pivots(vectors: DataFrame, most: int) -> np.ndarray:
     return np.array(found, np.float64) if found else np.zeros((0, 1))
 
 
+def without_spare_copies(vectors: DataFrame, k: int) -> DataFrame:
+    """The vectors, of each heavy one the rows of its ``k + 1`` smallest ids, of an id ``k`` rows at most.
+
+    That loses no answer: a query leaves out the rows of one id, and of k others each has a row.
+    """
+    hashed = vectors.withColumn("h", F.xxhash64("v"))
+    counts = hashed.groupBy("h").agg(F.count("*").alias("n"))
+    least = max(2 * k, vectors.count() // HEAVY)
+    heavy = [x["h"] for x in counts.filter(F.col("n") > least).select("h").toLocalIterator()]  # HEAVY at most
+    if not heavy:
+        return vectors
+    # different vectors with one hash stay as they are
+    forms = hashed.filter(F.col("h").isin(heavy)).groupBy("h").agg(F.min("v").alias("v"), F.max("v").alias("w"))
+    forms = stored(forms.filter("v = w").select("h", "v"), "heavy")
+    heavy = [x["h"] for x in forms.select("h").toLocalIterator()]
+    copies = hashed.filter(F.col("h").isin(heavy)).groupBy("h", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("h").orderBy("vec_id"))
+    first = copies.withColumn("rank", rank).filter(F.col("rank") <= k + 1)
+    first = first.join(F.broadcast(forms), "h").select("vec_id", "v", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    return hashed.filter(~F.col("h").isin(heavy)).select("vec_id", "v").unionByName(first.select("vec_id", "v"))
+
+
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
@@ -191,7 +218,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not len(centres):
         return vectors.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
     width = centres.shape[1]
-    data = stored(blocks(vectors, centres, DATA_BLOCK), "data")
+    data = stored(blocks(without_spare_copies(vectors, k), centres, DATA_BLOCK), "data")
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = stored(blocks(queries, centres, QUERY_BLOCK).select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), "queries")
     cells = summaries(data, centres, k)

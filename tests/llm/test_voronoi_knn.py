@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from stratalake.llm.voronoi_knn import op6_voronoi_knn, top_k, whole_vectors
+from stratalake.llm.voronoi_knn import op6_voronoi_knn, top_k, whole_vectors, without_spare_copies
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -50,6 +50,23 @@ def test_many_rows_of_the_query_id(texts, copies):
     assert sorted(map(tuple, found)) == [(20, 1, 1, 64 * 32), (20, 2, 2, 64 * 16)] == sorted(brute(rows, 2))
 
 
+def test_ten_thousand_copies_are_searched_by_their_smallest_ids(texts):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1), rng.gauss(0, 1)]) for i in range(1, 200)]
+    rows += [(i, [2.0, 2.0]) for i in range(1000, 11000)] + [(1000, [2.0, 2.0])] * 30 + [(40, [3.0, 3.0])] * 500
+    vectors = whole_vectors(texts(rows, SCHEMA), "vec_id", "embedding")
+    searched = without_spare_copies(vectors, 7)
+    assert searched.count() == 199 + (7 + 7) + 7
+    asked = vectors.filter("vec_id IN (20, 40, 60, 1000, 1020, 10000)")
+    found = top_k(vectors, asked, 7).select("query_id", "rank", "vec_id", "score").collect()
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    for q in (20, 40, 60, 1000, 1020, 10000):
+        mine = min(v for i, v in whole if i == q)
+        best = sorted((-sum(a * b for a, b in zip(mine, v)), j) for j, v in whole if j != q)[:7]
+        got = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q)
+        assert got == [(n, j, -score) for n, (score, j) in enumerate(best, 1)]
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_large_components(texts, kind):
     rng = random.Random(2)
