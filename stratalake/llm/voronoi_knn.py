@@ -15,7 +15,8 @@ Copies of one vector have one score with a query, and ties go to the smaller id;
 that is a large share of all rows only the rows of its ``k + 1`` smallest ids are searched: its others
 can be no answer, whichever of these ids is the query's own. They are found from hashes and ids; the
 vectors themselves, at most ``HEAVY``, are joined back. Cells are dealt in blocks of a bounded number
-of vectors, so a hot cell is many tasks. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS`` rows.
+of vectors, so a hot cell is many tasks; what tasks have over in a cell is gathered into blocks of that
+size, so that many small tasks make no more blocks than a few large ones. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS`` rows.
 
 Components become floor(64 x). Null vectors, vectors with null or non-finite components, and of
 several lengths those that differ from the most frequent one, take no part. Scores are exact:
@@ -159,6 +160,28 @@ BLOCK = pa.schema([("cell", pa.int64()), ("block", pa.int64()), ("far", pa.binar
 BLOCK_DDL = "cell long, block long, far binary, ids binary, vectors binary"
 
 
+def filled(parts: DataFrame, width: int, size: int) -> DataFrame:
+    """The blocks, those of less than ``size`` vectors gathered into blocks of about that many."""
+    parts = parts.withColumn("n", F.length("ids") / 8)
+    small = parts.filter(F.col("n") < size)
+    room = small.groupBy("cell").agg(F.ceil(F.sum("n") / size).alias("room"))  # PIVOTS rows at most
+    dealt = small.join(F.broadcast(room), "cell").withColumn("bucket", F.pmod(F.xxhash64("block"), "room"))
+
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
+        cell, bucket = (x.as_py() for x in key)
+        kept = list(zip(*(table[c].to_pylist() for c in ("ids", "far", "vectors"))))
+        ids, far = (np.frombuffer(b"".join(x[i] for x in kept), kind) for i, kind in ((0, np.int64), (1, np.float64)))
+        v = np.concatenate([unpacked(x[2], len(x[0]) // 8, width) for x in kept])
+        order = np.argsort(far, kind="stable")
+        ids, far, v = ids[order], far[order], v[order]
+        cuts = range(0, len(ids), 2 * size)  # numbers below zero are no task's
+        rows = [[cell, -1 - (bucket << 20) - i, far[at : at + 2 * size].tobytes(), ids[at : at + 2 * size].tobytes(), packed(v[at : at + 2 * size])] for i, at in enumerate(cuts)]
+        return pa.table([pa.array(x, k) for x, k in zip(zip(*rows), BLOCK.types)], schema=BLOCK)
+
+    merged = dealt.select("bucket", *BLOCK.names).groupBy("cell", "bucket").applyInArrow(gather, BLOCK_DDL)
+    return parts.filter(F.col("n") >= size).select(*BLOCK.names).unionByName(merged)
+
+
 def nearest(ids: np.ndarray, far: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and distances of the ``most`` nearest different ids."""
     order = np.argsort(far, kind="stable")
@@ -218,9 +241,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     if not len(centres):
         return vectors.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
     width = centres.shape[1]
-    data = stored(blocks(without_spare_copies(vectors, k), centres, DATA_BLOCK), "data")
+
+    def dealt(rows: DataFrame, size: int) -> DataFrame:
+        return filled(stored(blocks(rows, centres, size), "parts"), width, size)
+
+    data = stored(dealt(without_spare_copies(vectors, k), DATA_BLOCK), "data")
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = stored(blocks(queries, centres, QUERY_BLOCK).select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), "queries")
+    asked = stored(dealt(queries, QUERY_BLOCK).select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), "queries")
     cells = summaries(data, centres, k)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

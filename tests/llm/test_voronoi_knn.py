@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from stratalake.llm.voronoi_knn import op6_voronoi_knn, top_k, whole_vectors, without_spare_copies
+from stratalake.llm.voronoi_knn import blocks, filled, op6_voronoi_knn, pivots, top_k, whole_vectors, without_spare_copies
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -67,6 +67,19 @@ def test_ten_thousand_copies_are_searched_by_their_smallest_ids(texts):
         assert got == [(n, j, -score) for n, (score, j) in enumerate(best, 1)]
 
 
+def test_small_tasks_fill_blocks_together(texts):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1), rng.gauss(0, 1)]) for i in range(2000)]
+    vectors = whole_vectors(texts(rows, SCHEMA), "vec_id", "embedding").repartition(40)
+    centres = pivots(vectors, 8)
+    parts = blocks(vectors, centres, 50)
+    made = filled(parts, 2, 50).collect()
+    assert parts.count() > 200 > len(made)
+    assert len({(r.cell, r.block) for r in made}) == len(made)
+    assert sum(len(r.ids) for r in made) == 8 * 2000 and max(len(r.ids) for r in made) <= 8 * 100
+    assert all(list(memoryview(r.far).cast("d")) == sorted(memoryview(r.far).cast("d")) for r in made)
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_large_components(texts, kind):
     rng = random.Random(2)
