@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 
 import pytest
@@ -93,3 +94,24 @@ def test_words_of_like_shape_do_not_link_texts(texts):
         one, two = one + two, two + one
     rows = near_duplicates(texts([(1, one), (2, two), (3, "y " * 50_000)])).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {1: (1, 1), 2: (1, 2), 3: (1, 3)}
+
+
+@pytest.mark.parametrize(("sparse", "few"), [(0, 1), (10**6, 1), (0, 10**6)])
+def test_crowded_and_sparse_groups(texts, monkeypatch, sparse, few):
+    monkeypatch.setattr(jaccard_join, "SPARSE", sparse)
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    rows = list(near_copies(11, 250))
+    assert sorted(str(tuple(r)) for r in near_duplicates(texts(rows).repartition(3)).collect()) == sorted(map(str, brute(rows)))
+
+
+def test_what_tasks_hold_is_given_up(spark, texts, monkeypatch):
+    sent, kept = [], type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        sent.append(kept(self, value))
+        return sent[-1]
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    near_duplicates(texts([(i, f"a b c d e f g h i j k l m n o p q r {i % 2}") for i in range(4)]))
+    assert len(sent) > 2
+    assert not [b for b in sent if os.path.exists(b._path)]
