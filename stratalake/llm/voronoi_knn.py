@@ -8,28 +8,32 @@ nearest pivot. A cell's summary holds its pivot, its radius and the ids and dist
 
 so summaries alone give a score that ``k`` members with other ids than the query's reach, however
 many rows have its id, and for each cell a score that none of its members exceeds. A query needs the cells that may hold a score of at least the first. Queries
-of one cell travel in blocks; a block is replicated to the blocks of the cells that one of its
-queries needs, is solved there, and each block keeps its best ``k`` per query before these meet.
+of one cell travel in blocks. The data blocks are dealt to tiles of at most ``TILE`` bytes, and a query block goes once to each tile that
+has a cell which one of its queries needs. A task holds one tile and meets a share of the tile's query blocks one by one; of the
+scores it keeps the best ``k`` per query, and what does not reach these is never sorted. The number of tiles is
+chosen so that copies of tiles and of queries and the scores sent on are few together. Tiles and blocks are dealt by number,
+without a join, so that no estimate of sizes can have vectors sent to the driver.
 
 Copies of one vector have one score with a query, and ties go to the smaller id; so of a vector
 that is a large share of all rows only the rows of its ``k + 1`` smallest ids are searched: its others
 can be no answer, whichever of these ids is the query's own. They are found from hashes and ids; the
 vectors themselves, at most ``HEAVY``, are joined back. Cells are dealt in blocks of a bounded number
 of vectors, so a hot cell is many tasks; what tasks have over in a cell is gathered into blocks of that
-size, so that many small tasks make no more blocks than a few large ones. Only the pivots' summaries are sent to all tasks, at most ``PIVOTS`` rows.
+size, so that many small tasks make no more blocks than a few large ones. Only the pivots' summaries, at most ``PIVOTS`` rows, and a row per tile are sent to all tasks.
 
 Components become floor(64 x). Null vectors, vectors with null or non-finite components, and of
 several lengths those that differ from the most frequent one, take no part. Scores are exact:
 they are computed on whole numbers, and one outside of 64 bits counts as the nearest inside. Ties
 go to the smaller id; of rows with one id each is a candidate, and a query's own id is none; of
 several query rows with one id the smallest vector asks. Null ids take no part. Blocks hold
-components in 32 bits where all fit and as doubles, which hold them exactly, elsewhere. Doubles of
+components in 8, 16 or 32 bits where all fit and as doubles, which hold them exactly, elsewhere. Doubles of
 2^500 and more, whose squares are infinite, take no part; single floats are never that large.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -38,10 +42,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.sources.scratch import stored
+from stratalake.sources.scratch import drop_stored, stored
 
 #: Pivots at most, vectors of a data block, queries of a query block.
 PIVOTS, DATA_BLOCK, QUERY_BLOCK = 64, 1024, 256
+#: Bytes of a tile's vectors, pairs of blocks that a task solves, and tasks for each core, of small tables too.
+TILE, PAIRS, TURNS = 1 << 25, 1 << 19, 4
 #: Vectors of more than one in so many rows are searched by their smallest ids.
 HEAVY = 1024
 SCALE = 64
@@ -101,25 +107,71 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def packed(v: np.ndarray) -> bytes:
-    """Whole numbers in 32 bits where all fit, else as doubles."""
-    return v.astype(np.int32 if not v.size or np.abs(v).max() < 1 << 31 else np.float64).tobytes()
+    """Whole numbers in 8, 16 or 32 bits, the first where all fit, else as doubles."""
+    most = np.abs(v).max() if v.size else 0
+    return v.astype(next((x for x in (np.int8, np.int16, np.int32) if most <= np.iinfo(x).max), np.float64)).tobytes()
 
 
 def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
-    return np.frombuffer(data, np.int32 if len(data) == 4 * rows * width else np.float64).reshape(rows, width).astype(np.float64)
+    kind = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}[len(data) // (rows * width)]
+    return np.frombuffer(data, kind).reshape(rows, width)
 
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact, in 64 bits or the nearest number that has so many."""
-    most = float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1]
-    if most < 2.0**52:  # exact in doubles
-        return (q @ v.T).astype(np.int64)
-    if most < 2.0**62 and max(np.abs(q).max(), np.abs(v).max()) < 2.0**62:
+    """Inner products of whole numbers, exact: floats where these hold them, else 64 bits or the nearest number that has so many."""
+    ends = float(np.abs(q).max()), float(np.abs(v).max())
+    most = ends[0] * ends[1] * q.shape[1]
+    for kind, bound in EXACT.items():
+        if most < bound:
+            return q.astype(kind) @ v.astype(kind).T
+    if most < 2.0**62 and max(ends) < 2.0**62:
         return q.astype(np.int64) @ v.astype(np.int64).T
     whole = [[int(x) for x in row] for row in v]
-    ends = np.iinfo(np.int64)
     exact = [[sum(a * b for a, b in zip(asks, row)) for row in whole] for asks in ([int(x) for x in row] for row in q)]
-    return np.array([[min(max(x, int(ends.min) + 1), int(ends.max)) for x in row] for row in exact], np.int64)
+    return np.array([[min(max(x, LEAST + 1), MOST) for x in row] for row in exact], np.int64)
+
+
+#: Sums below these are exact in floats; the ends of 64 bits.
+EXACT = {np.dtype(np.float32): 2.0**24, np.dtype(np.float64): 2.0**52}
+LEAST, MOST = int(np.iinfo(np.int64).min), int(np.iinfo(np.int64).max)
+
+
+def best(q_id: np.ndarray, q: np.ndarray, data: Iterable[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query id, id and score of the ``k`` best of each query among blocks of ids and vectors, ties to the smaller id."""
+    none = np.zeros(0, np.int64)
+    held, fresh = [(none, none, none)], 0
+    least, last = np.full(len(q_id), LEAST), np.full(len(q_id), MOST)  # score and id of the k-th so far
+
+    def cut() -> None:
+        rows, ids, score = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((ids, -score, rows))
+        rows, ids, score = rows[order], ids[order], score[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kth, kept = rank == k - 1, rank < k
+        least[rows[kth]], last[rows[kth]] = score[kth], ids[kth]
+        held[:] = [(rows[kept], ids[kept], score[kept])]
+
+    for v_id, v in data:
+        score = products(q, v)
+        bound = least
+        if score.dtype in EXACT:  # what is beyond the floats' bound is so for all scores here
+            bound = np.clip(least, -EXACT[score.dtype], EXACT[score.dtype]).astype(score.dtype)
+        places = np.flatnonzero(score >= bound[:, None])
+        if len(places) > 4 * k * len(q_id) and len(v_id) > k:  # too many to sort: k of this block reach more
+            others = np.where(q_id[:, None] == v_id[None, :], -np.inf if score.dtype in EXACT else LEAST, score)
+            bound = np.maximum(bound, np.partition(others, -k, 1)[:, -k])
+            places = np.flatnonzero(score >= bound[:, None])
+        rows, cols = np.divmod(places, len(v_id))
+        ids, found = v_id[cols], score.ravel()[places].astype(np.int64)
+        kept = (ids != q_id[rows]) & ((found > least[rows]) | (ids < last[rows]))
+        held.append((rows[kept], ids[kept], found[kept]))
+        fresh += int(kept.sum())
+        if fresh > k * len(q_id):
+            cut()
+            fresh = 0
+    cut()
+    rows, ids, score = held[0]
+    return q_id[rows], ids, score
 
 
 def blocks(vectors: DataFrame, centres: np.ndarray, size: int) -> DataFrame:
@@ -202,16 +254,15 @@ def summaries(data: DataFrame, centres: np.ndarray, k: int) -> list[tuple[int, n
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("cell", "ids", "far"))):
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
                 merge(held, *row)
         for cell, (ids, near, radius) in held.items():
             yield pa.record_batch([[cell], [ids.tobytes()], [near.tobytes()], [float(radius)]], schema=schema)
 
-    parts = data.select("cell", "far", "ids").mapInArrow(cut, "cell long, ids binary, near binary, radius double")
-    merged: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
-    for x in parts.toLocalIterator():  # of each task PIVOTS rows at most
-        merge(merged, x["cell"], x["ids"], x["near"], x["radius"])
-    return [(cell, *merged[cell]) for cell in sorted(merged)]
+    ddl = "cell long, ids binary, near binary, radius double"
+    parts = data.select("cell", "ids", "far").mapInArrow(cut, ddl)  # of each task PIVOTS rows at most
+    merged = parts.repartition("cell").mapInArrow(cut, ddl).collect()  # PIVOTS rows at most
+    return [(x["cell"], np.frombuffer(x["ids"], np.int64), np.frombuffer(x["near"]), x["radius"]) for x in sorted(merged, key=lambda x: x["cell"])]
 
 
 def needed(q_ids: np.ndarray, queries: np.ndarray, centres: np.ndarray, cells: list[tuple[int, np.ndarray, np.ndarray, float]], k: int) -> list[int]:
@@ -231,6 +282,81 @@ def needed(q_ids: np.ndarray, queries: np.ndarray, centres: np.ndarray, cells: l
     return at[(np.clip(most + slack, *ends) >= np.clip(least, *ends)).any(0)].tolist()
 
 
+def tiles(sizes: dict[int, int], most: float) -> dict[int, tuple[int, int]]:
+    """Per cell its first tile and how many it has, of ``most`` bytes: small cells share a tile, large ones have several."""
+    place, following, room = {}, 0, 0.0
+    for cell, size in sorted(sizes.items()):
+        if size <= room:
+            place[cell], room = (following - 1, 1), room - size
+            continue
+        spread = math.ceil(size / most)
+        place[cell], room = (following, spread), most - size  # below 0 where there are several
+        following += spread
+    return place
+
+
+def dealt(data: DataFrame, asked: DataFrame, to: Callable[[np.ndarray, np.ndarray], list[int]], width: int, k: int) -> DataFrame:
+    """``task, asks, cells, cell, ids, vectors``: in a partition for each task its tile, then the query blocks that meet it there.
+
+    ``to`` has the cells that a block of queries needs.
+    """
+    spark = data.sparkSession
+    size = F.length("ids") + F.length("vectors")
+    sizes = {x["cell"]: x for x in data.groupBy("cell").agg(F.sum(size).alias("size"), F.count("*").alias("n")).collect()}  # PIVOTS rows at most
+    asking = asked.agg(F.sum(size).alias("size"), F.sum(F.length("ids")).alias("ids")).first()
+    whole, least = sum(x["size"] for x in sizes.values()), TURNS * spark.sparkContext.defaultParallelism
+    # each tile more is a copy of the queries and k scores for each, each tile less a copy of the rest for the tasks
+    copies = math.sqrt(whole * least / ((asking["size"] or 0) + 2 * k * (asking["ids"] or 0) + 1))
+    number = max(whole / TILE, min(copies, least, sum(x["n"] for x in sizes.values())), 1)
+    place = tiles({cell: x["size"] for cell, x in sizes.items()}, whole / number)
+
+    def met(ids: bytes, q: bytes) -> dict[int, list[int]]:
+        """The cells that a block of queries needs, by tile."""
+        asking, of = np.frombuffer(ids, np.int64), {}
+        for cell in to(asking, unpacked(q, len(asking), width).astype(np.float64)):
+            for tile in range(place[cell][0], sum(place[cell])):
+                of.setdefault(tile, []).append(cell)
+        return of
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, q in zip(batch.column("ids"), batch.column("vectors")):
+                yield pa.record_batch([pa.array(met(ids.as_py(), q.as_py()), pa.int64())], names=["tile"])
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist() if batch.num_rows else ():
+                for tile, cells in met(row["ids"], row["vectors"]).items():  # one at a time, as blocks may be large
+                    values = tile, row["block"], np.array(cells, np.int64).tobytes(), row["ids"], row["vectors"]
+                    yield pa.record_batch([pa.array([x], kind) for x, kind in zip(values, ROUTE.types)], schema=ROUTE)
+
+    asks = {x["tile"]: x["count"] for x in asked.select("ids", "vectors").mapInArrow(counted, "tile long").groupBy("tile").count().collect()}
+    has = dict.fromkeys(asks, 0.0)  # data blocks
+    for cell, (first, spread) in place.items():
+        for tile in set(range(first, first + spread)) & set(has):
+            has[tile] += sizes[cell]["n"] / spread
+    pairs = sum(asks[tile] * has[tile] for tile in asks)
+    turns, following = [], 0
+    for tile, n in sorted(asks.items()):
+        most = n * has[tile]
+        share = max(math.ceil(most / PAIRS), min(n, math.ceil(least * most / pairs)))
+        turns.append((tile, following, following + share - 1))
+        following += share
+
+    places = F.broadcast(spark.createDataFrame([(cell, *x) for cell, x in place.items()], "cell long, at long, spread long"))
+    turns = F.broadcast(spark.createDataFrame(turns, "tile long, first long, last long"))
+    tile = F.col("at") + F.pmod(F.xxhash64("block"), "spread")
+    held = data.select("cell", "block", "ids", "vectors").join(places, "cell").withColumn("tile", tile).join(turns, "tile")
+    held = held.withColumn("task", F.explode(F.sequence("first", "last"))).select("task", F.lit(0).alias("asks"), F.lit(None).cast("binary").alias("cells"), "cell", "ids", "vectors")
+    sent = asked.mapInArrow(route, "tile long, block long, cells binary, ids binary, vectors binary").join(turns, "tile")
+    task = F.col("first") + F.pmod(F.xxhash64("block"), F.col("last") - F.col("first") + 1)
+    sent = sent.select(task.alias("task"), F.lit(1).alias("asks"), "cells", F.lit(None).cast("long").alias("cell"), "ids", "vectors")
+    return held.unionByName(sent).repartitionById(max(1, following), F.col("task").cast("int")).sortWithinPartitions("task", "asks")
+
+
+ROUTE = pa.schema([("tile", pa.int64()), ("block", pa.int64()), ("cells", pa.binary()), ("ids", pa.binary()), ("vectors", pa.binary())])
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best inner products of each query.
 
@@ -242,44 +368,36 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return vectors.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0)
     width = centres.shape[1]
 
-    def dealt(rows: DataFrame, size: int) -> DataFrame:
-        return filled(stored(blocks(rows, centres, size), "parts"), width, size)
+    def in_blocks(rows: DataFrame, size: int, label: str) -> DataFrame:
+        parts = stored(blocks(rows, centres, size), "parts")
+        made = stored(filled(parts, width, size), label)
+        drop_stored(parts)
+        return made
 
-    data = stored(dealt(without_spare_copies(vectors, k), DATA_BLOCK), "data")
+    data = in_blocks(without_spare_copies(vectors, k), DATA_BLOCK, "data")
+    drop_stored(vectors)
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = stored(dealt(queries, QUERY_BLOCK).select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q")), "queries")
+    asked = in_blocks(queries, QUERY_BLOCK, "queries").select("block", "ids", "vectors")
     cells = summaries(data, centres, k)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, q in zip(batch.column("q_ids").to_pylist(), batch.column("q").to_pylist()):
-                asking = np.frombuffer(ids, np.int64)
-                to = needed(asking, unpacked(q, len(asking), width), centres, cells, k)
-                yield pa.record_batch([pa.array([ids] * len(to), pa.binary()), pa.array([q] * len(to), pa.binary()), pa.array(to, pa.int64())], names=["q_ids", "q", "cell"])
-
-    sent = asked.mapInArrow(route, "q_ids binary, q binary, cell long")
-    # a block of a cell is found by cell and block, so that a hot cell is many keys
-    sent = sent.join(data.select("cell", "block"), "cell")
-    joined = sent.join(data.select("cell", "block", "ids", "vectors"), ["cell", "block"])
-    best = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    met = dealt(data, asked, lambda ids, q: needed(ids, q, centres, cells, k), width, k)
+    names = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, tile = None, []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q", "ids", "vectors"))):
-                q_id, v_id = np.frombuffer(row[0], np.int64), np.frombuffer(row[2], np.int64)
-                score = products(unpacked(row[1], len(q_id), width), unpacked(row[3], len(v_id), width))
-                order = np.argsort(v_id, kind="stable")
-                v_id, score = v_id[order], score[:, order]
-                rows, cols = [], []
-                for i in range(len(q_id)):
-                    other = np.flatnonzero(v_id != q_id[i])
-                    first = other[np.argsort(-score[i, other], kind="stable")[:k]]
-                    rows.append(np.full(len(first), i))
-                    cols.append(first)
-                rows, cols = np.concatenate(rows), np.concatenate(cols)
-                yield pa.record_batch([pa.array(q_id[rows]), pa.array(v_id[cols]), pa.array(score[rows, cols])], schema=best)
-
-    found = joined.select("q_ids", "q", "ids", "vectors").mapInArrow(solve, "query_id long, vec_id long, score long")
+            for at, cells, cell, ids, v in zip(*(batch.column(c) for c in ("task", "cells", "cell", "ids", "vectors"))):
+                if at.as_py() != task:
+                    task, tile = at.as_py(), []
+                ids = np.frombuffer(ids.as_py(), np.int64)
+                v = unpacked(v.as_py(), len(ids), width)
+                if cells.as_py() is None:
+                    tile.append((cell.as_py(), ids, v))
+                    continue
+                asks = set(np.frombuffer(cells.as_py(), np.int64).tolist())
+                found = best(ids, v, ((x, y) for c, x, y in tile if c in asks), k)
+                yield pa.record_batch([pa.array(x) for x in found], schema=names)
+
+    found = met.mapInArrow(solve, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 
-from stratalake.llm.voronoi_knn import blocks, filled, op6_voronoi_knn, pivots, top_k, whole_vectors, without_spare_copies
+from stratalake.llm import voronoi_knn
+from stratalake.llm.voronoi_knn import best, blocks, filled, op6_voronoi_knn, packed, pivots, tiles, top_k, unpacked, whole_vectors, without_spare_copies
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -93,6 +96,57 @@ def test_large_components(texts, kind):
     assert sorted(map(tuple, found.collect())) == sorted(brute(kept, 9))
 
 
+def test_no_vectors_are_broadcast(spark, texts):
+    """Whatever Spark estimates: replicated query blocks, taken for a small table, once filled the driver's memory."""
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(1500)]
+    vectors = whole_vectors(texts(rows, SCHEMA), "vec_id", "embedding")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = top_k(vectors, vectors.filter("vec_id % 20 = 0"), 7)
+        assert sorted(map(tuple, found.collect())) == sorted(brute([(r.vec_id, r.embedding) for r in texts(rows, SCHEMA).collect()], 7))
+        plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sent = re.findall(r"BroadcastExchange\nInput \[\d+\]: \[(.*?)\]", plan)
+    assert sent and {name for columns in sent for name in re.findall(r"(\w+)#", columns)} <= {"cell", "at", "spread", "tile", "first", "last"}
+
+
+def test_many_tiles_and_tasks(texts, monkeypatch):
+    for name, value in {"TILE": 400, "PAIRS": 2, "DATA_BLOCK": 20, "QUERY_BLOCK": 5}.items():
+        monkeypatch.setattr(voronoi_knn, name, value)
+    rng = random.Random(6)
+    rows = [(rng.randrange(900), [rng.choice([0.5, 2.0, 300.0]) * rng.gauss(0, 1) for _ in range(2)]) for _ in range(1500)]
+    frame = texts(rows, SCHEMA)
+    vectors = whole_vectors(frame, "vec_id", "embedding")
+    met = top_k(vectors, vectors.filter("vec_id % 20 = 0"), 7)
+    assert sorted(map(tuple, met.collect())) == sorted(brute([(r.vec_id, r.embedding) for r in frame.collect()], 7))
+
+
+def test_nothing_asked(texts):
+    vectors = whole_vectors(texts([(i, [float(i), 1.0]) for i in range(50)], SCHEMA), "vec_id", "embedding")
+    assert top_k(vectors, vectors.filter("vec_id < 0"), 5).collect() == []
+
+
+def test_tiles_share_and_split_cells():
+    assert tiles({0: 30, 1: 60, 2: 20, 3: 250, 4: 10}, 100) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 3: (2, 3), 4: (5, 1)}
+
+
+@pytest.mark.parametrize("size", [3.0, 100.0, 2.0**20, 2.0**28, 2.0**55, 2.0**70])
+def test_the_best_of_blocks(size):
+    rng = np.random.default_rng(7)
+    draw = lambda n: np.floor(rng.uniform(-size, size, (n, 3)))
+    q_id, q = np.array([5, 20, 40]), draw(3)
+    data = [(rng.integers(0, 90, n), draw(n)) for n in (2, 300, 5, 300, 40)]
+    data += [(np.arange(60), np.repeat(draw(1), 60, 0))]
+    found = sorted(zip(*(x.tolist() for x in best(q_id, q, data, 6))))
+    clipped = lambda a, b: min(max(sum(int(x) * int(y) for x, y in zip(a, b)), 1 - 2**63), 2**63 - 1)
+    exact = [sorted((-clipped(a, v), int(j)) for ids, block in data for j, v in zip(ids, block) if j != i)[:6] for i, a in zip(q_id, q)]
+    assert found == sorted((int(i), j, -score) for i, rows in zip(q_id, exact) for score, j in rows)
+    small = unpacked(packed(q), 3, 3)
+    assert np.array_equal(small, q) and small.itemsize == {3.0: 1, 100.0: 1, 2.0**20: 4, 2.0**28: 4}.get(size, 8)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
